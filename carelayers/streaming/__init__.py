@@ -1,0 +1,5 @@
+"""No streaming operator: every input is a batch table.
+
+The cleaning operators are plain ``DataFrame -> DataFrame`` and run on a streaming frame as they
+are (see ``tests/test_streaming_reuse.py``).
+"""
