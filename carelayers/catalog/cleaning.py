@@ -20,6 +20,7 @@ from carelayers.operators.clean import (
 from carelayers.operators.dictionary import one_per_key
 from carelayers.operators.fuse import fuse
 from carelayers.operators.ranking import dedup_by_priority, first_within, rank_within
+from carelayers.operators.repeats import distinct_rows
 from carelayers.operators.reports import distinct_values
 from carelayers.plans import inputs as input_plans
 from carelayers.plans import observations, outputs, procedures
@@ -209,7 +210,7 @@ def union_missing(t):
 @register("dedup_full_row", "select distinct * from in_inputevents_cv")
 def dedup_full_row(t):
     twice = fuse([t.inputevents_cv, t.inputevents_cv])
-    return twice.dropDuplicates()
+    return distinct_rows(twice)
 
 
 @register(

@@ -52,7 +52,7 @@ def _clean_text(t):
 
     return fuse(
         [
-            cleaned(t.microbiologyevents, "document", "ROW_ID", "SPEC_TYPE_DESC"),
+            cleaned(t.spread("microbiologyevents"), "document", "ROW_ID", "SPEC_TYPE_DESC"),
             cleaned(t.d_items, "item", "ITEMID", "LABEL"),
             cleaned(t.chartevents, "unit", "ROW_ID", "VALUEUOM"),
         ]
@@ -74,7 +74,7 @@ def _normalize_title(t):
     return fuse(
         [
             titles(t.d_icd_diagnoses, "title", "LONG_TITLE"),
-            titles(t.microbiologyevents, "document", "SPEC_TYPE_DESC"),
+            titles(t.spread("microbiologyevents"), "document", "SPEC_TYPE_DESC"),
         ]
     )
 

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelayers.sources.raw import spread
+
 _LINE_ID = "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
 
 INPUTS: dict[str, str] = {
@@ -189,10 +191,20 @@ INPUTS: dict[str, str] = {
 _TABLE = re.compile(r"\{(\w+)\}")
 
 
-def input_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The input as a lazy DataFrame over the Parquet files in ``sf_dir``."""
+def input_frame(
+    spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False
+) -> DataFrame:
+    """The input as a lazy DataFrame over the Parquet files in ``sf_dir``.
+
+    ``spread_rows`` uses all cores for the table the rows come from (the first one named), even if
+    its file cannot be split.
+    """
     folder = sf_dir.rstrip("/")
-    return spark.sql(_TABLE.sub(rf"parquet.`{folder}/\1.parquet`", INPUTS[name]))
+    names = list(dict.fromkeys(_TABLE.findall(INPUTS[name])))
+    tables = {table: spark.read.parquet(f"{folder}/{table}.parquet") for table in names}
+    if spread_rows:
+        tables[names[0]] = spread(tables[names[0]])
+    return spark.sql(INPUTS[name], **tables)
 
 
 def input_sql(name: str) -> str:

@@ -31,6 +31,10 @@ class Inputs:
             raise AttributeError(name)
         return input_frame(self.spark, self.folder, name)
 
+    def spread(self, name: str) -> DataFrame:
+        """An input for costly row-wise work, its rows over all cores."""
+        return input_frame(self.spark, self.folder, name, spread_rows=True)
+
 
 def register(name: str, sql: str | None = None):
     """Register ``function(inputs) -> DataFrame``. ``sql`` may name ``in_<input>`` and steps."""

@@ -182,7 +182,7 @@ STEPS["step_clinical_observation"] = """
 
 @register("join_chart_dictionary", "select * from step_chart_joined")
 def join_chart_dictionary(t):
-    named = observations.chart_events_named(t.chartevents, t.d_items)
+    named = observations.chart_events_named(t.spread("chartevents"), t.d_items)
     return named.drop("normalized_label", "normalized_unit")
 
 
@@ -194,7 +194,7 @@ def join_lab_dictionary(t):
 
 @register("chart_events_named", "select * from step_chart_named")
 def chart_events_named(t):
-    return observations.chart_events_named(t.chartevents, t.d_items)
+    return observations.chart_events_named(t.spread("chartevents"), t.d_items)
 
 
 @register("lab_events_named", "select * from step_lab_named")
@@ -204,13 +204,13 @@ def lab_events_named(t):
 
 @register("microbiology_clean", "select * from step_micro")
 def microbiology_clean(t):
-    return observations.microbiology_clean(t.microbiologyevents)
+    return observations.microbiology_clean(t.spread("microbiologyevents"))
 
 
 @register("clinical_observation", "select * from step_clinical_observation")
 def clinical_observation(t):
     return observations.clinical_observation(
-        observations.chart_events_named(t.chartevents, t.d_items),
+        observations.chart_events_named(t.spread("chartevents"), t.d_items),
         observations.lab_events_named(t.labevents, t.d_labitems),
     )
 
@@ -221,7 +221,7 @@ def clinical_observation(t):
        from step_clinical_observation group by source_table""",
 )
 def dedup_by_hash(t):
-    charts = observations.chart_events_named(t.chartevents, t.d_items)
+    charts = observations.chart_events_named(t.spread("chartevents"), t.d_items)
     labs = observations.lab_events_named(t.labevents, t.d_labitems)
     # Every chart row twice: the copies carry the same id and go.
     kept = observations.clinical_observation(charts.union(charts), labs)
@@ -369,7 +369,7 @@ STEPS["gold_prescriptions"] = _sql_rx_rollup("silver_prescriptions")
 
 @register("gold_prescriptions", "select * from gold_prescriptions")
 def gold_prescriptions(t):
-    gold = rx.gold_prescriptions(rx.silver_prescriptions(t.prescriptions))
+    gold = rx.gold_prescriptions(rx.silver_prescriptions(t.spread("prescriptions")))
     return rounded(gold, "AVG_DOSE", "AVG_DURATION")
 
 
@@ -382,7 +382,7 @@ STEPS["step_rx_rows"] = """
 @register("rollup_prescriptions", _sql_rx_rollup("step_rx_rows"))
 def rollup_prescriptions(t):
     """The rollup alone, over rows that kept their NULL keys."""
-    rows = t.prescriptions.selectExpr(
+    rows = t.spread("prescriptions").selectExpr(
         "*", "DRUG as MEDICATION_NAME", "GSN as MEDICATION_CODE", "ROUTE as ADMIN_ROUTE",
         "cast(ICUSTAY_ID as double) as DOSE_NUMERIC",
         "cast(ICUSTAY_ID as double) / 2 as DURATION_HOURS",

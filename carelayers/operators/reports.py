@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelayers.operators.fuse import fuse
+from carelayers.operators.repeats import distinct_rows
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -79,10 +82,15 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows, distinct full rows, and the difference."""
-    return duplicate_summary(df, df.columns).select(
-        "total_rows", F.col("unique_rows").alias("distinct_rows"), "duplicate_rows"
+def exact_duplicate_count(df: DataFrame, written: bool = False) -> DataFrame:
+    """Rows, distinct full rows, and the difference. For ``written`` see ``repeats``."""
+    if not written:
+        return duplicate_summary(df, df.columns).select(
+            "total_rows", F.col("unique_rows").alias("distinct_rows"), "duplicate_rows"
+        )
+    distinct = distinct_rows(df, written).agg(_rows().alias("distinct_rows"))
+    return _side_by_side(df.agg(_rows().alias("total_rows")), distinct).withColumn(
+        "duplicate_rows", F.col("total_rows") - F.col("distinct_rows")
     )
 
 
@@ -98,14 +106,19 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _side_by_side(*totals: DataFrame) -> DataFrame:
+    """One row from one-row tables of one number each."""
+    names = [name for total in totals for name in total.columns]
+    padded = fuse(totals, allow_missing=True)
+    return padded.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+
+
 def reconcile(silver: DataFrame, gold: DataFrame, count_column: str) -> DataFrame:
     """Rows of one layer against the summed counts of the next; the difference must be 0."""
-    rows = silver.agg(_rows().alias("silver_rows")).withColumn("gold_total", F.lit(0).cast("bigint"))
-    total = gold.agg(F.coalesce(F.sum(count_column), F.lit(0)).cast("bigint").alias("gold_total"))
-    both = rows.unionByName(total.withColumn("silver_rows", F.lit(0).cast("bigint")))
-    return both.agg(
-        F.sum("silver_rows").alias("silver_rows"), F.sum("gold_total").alias("gold_total")
-    ).withColumn("difference", F.col("silver_rows") - F.col("gold_total"))
+    counted = gold.agg(F.sum(F.col(count_column).cast("bigint")).alias("gold_total"))
+    return _side_by_side(silver.agg(_rows().alias("silver_rows")), counted).withColumn(
+        "difference", F.col("silver_rows") - F.col("gold_total")
+    )
 
 
 def compare_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

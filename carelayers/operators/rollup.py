@@ -23,7 +23,7 @@ def edge_counts(
 def representative(column: str, order: Sequence[str]) -> Column:
     """The first non-NULL value by ``order``, then by the value itself; NULL if there is none."""
     place = F.struct(*[F.col(c) for c in dict.fromkeys([*order, column])])
-    return F.min_by(F.col(column), F.when(F.col(column).isNotNull(), place))
+    return F.min(F.when(F.col(column).isNotNull(), place)).getField(column)
 
 
 def rollup(

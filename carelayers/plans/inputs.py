@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelayers.functions import upper_trim
 from carelayers.operators.clean import require_not_null, tag, typed_nulls
 from carelayers.operators.fuse import fuse
+from carelayers.operators.repeats import distinct_rows
 from carelayers.operators.rollup import rollup
 
 # Keys, renamed columns, normalized columns and source names.
@@ -23,14 +24,16 @@ def _normalized(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({new: upper_trim(F.col(old)) for new, old in columns.items()})
 
 
-def silver_inputevents_cv(bronze: DataFrame) -> DataFrame:
-    events = require_not_null(bronze, INPUT_KEYS).dropDuplicates().withColumnsRenamed(CV_TIMES)
+def silver_inputevents_cv(bronze: DataFrame, written: bool = False) -> DataFrame:
+    events = distinct_rows(require_not_null(bronze, INPUT_KEYS), written)
+    events = events.withColumnsRenamed(CV_TIMES)
     events = typed_nulls(events, END_TIME="timestamp")
     return tag(_normalized(events, {**UNITS, **CV_ROUTE}), SOURCE_SYSTEM=CV_SOURCE)
 
 
-def silver_inputevents_mv(bronze: DataFrame) -> DataFrame:
-    events = require_not_null(bronze, INPUT_KEYS).dropDuplicates().withColumnsRenamed(MV_TIMES)
+def silver_inputevents_mv(bronze: DataFrame, written: bool = False) -> DataFrame:
+    events = distinct_rows(require_not_null(bronze, INPUT_KEYS), written)
+    events = events.withColumnsRenamed(MV_TIMES)
     return tag(_normalized(events, UNITS), SOURCE_SYSTEM=MV_SOURCE)
 
 

@@ -198,6 +198,8 @@ def observations(charts: DataFrame, labs: DataFrame) -> DataFrame:
     return both.withColumn("observation_id", observation_id(*[F.col(c) for c in identity]))
 
 
-def clinical_observation(charts: DataFrame, labs: DataFrame) -> DataFrame:
+def clinical_observation(
+    charts: DataFrame, labs: DataFrame, written: bool = False
+) -> DataFrame:
     """One row per observation id; of rows that share one, the first by all other columns."""
-    return first_within(observations(charts, labs), ["observation_id"], [])
+    return first_within(observations(charts, labs), ["observation_id"], [], written=written)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carelayers.functions import dose_numeric, duration_hours, upper_trim
 from carelayers.operators.clean import require_not_null
+from carelayers.operators.repeats import distinct_rows
 from carelayers.operators.rollup import rollup
 
 # Keys, and where names and codes come from, best first.
@@ -29,8 +30,8 @@ def medication_code() -> Column:
     return F.coalesce(*[F.col(c).cast("string") for c in CODE_SOURCES])
 
 
-def silver_prescriptions(bronze: DataFrame) -> DataFrame:
-    rows = require_not_null(bronze, PRESCRIPTION_KEYS).dropDuplicates()
+def silver_prescriptions(bronze: DataFrame, written: bool = False) -> DataFrame:
+    rows = distinct_rows(require_not_null(bronze, PRESCRIPTION_KEYS), written)
     return rows.withColumns(
         {
             "MEDICATION_NAME": medication_name(),

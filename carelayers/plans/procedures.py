@@ -53,10 +53,10 @@ def silver_procedureevents_mv(bronze: DataFrame) -> DataFrame:
     return drop_sparse_columns(bronze, keep=needed).transform(require_keys, MV_KEYS)
 
 
-def gold_procedureevents_mv(silver: DataFrame) -> DataFrame:
+def gold_procedureevents_mv(silver: DataFrame, written: bool = False) -> DataFrame:
     """One row per event: a finished one if there is one, else the lowest row id."""
     finished = F.col("STATUSDESCRIPTION") == FINISHED
-    return dedup_by_priority(silver, MV_DUPLICATE_KEYS, finished, ["ROW_ID"])
+    return dedup_by_priority(silver, MV_DUPLICATE_KEYS, finished, ["ROW_ID"], written)
 
 
 def near_duplicate_events(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,8 @@ class TablePlan:
 
     ``raw`` tables are written as bronze unless ``plain``; each name in ``silver`` makes a cleaned
     layer from its bronze one; ``gold`` gets the most refined layer of every raw table, in order,
-    then the results named in ``after``.
+    then the results named in ``after``. Steps that remove duplicates read written layers, so they
+    may look at them first.
     """
 
     raw: tuple[str, ...]
@@ -40,7 +42,7 @@ PLANS: dict[str, TablePlan] = {
     ),
     "procedureevents_mv": TablePlan(
         ("procedureevents_mv",),
-        procedures.gold_procedureevents_mv,
+        partial(procedures.gold_procedureevents_mv, written=True),
         {"procedureevents_mv": procedures.silver_procedureevents_mv},
     ),
     "d_cpt": TablePlan(("d_cpt",), procedures.gold_d_cpt),
@@ -61,12 +63,12 @@ PLANS: dict[str, TablePlan] = {
     "inputevents_cv": TablePlan(
         ("inputevents_cv",),
         inputs.gold_inputevents_cv,
-        {"inputevents_cv": inputs.silver_inputevents_cv},
+        {"inputevents_cv": partial(inputs.silver_inputevents_cv, written=True)},
     ),
     "inputevents_mv": TablePlan(
         ("inputevents_mv",),
         inputs.gold_inputevents_mv,
-        {"inputevents_mv": inputs.silver_inputevents_mv},
+        {"inputevents_mv": partial(inputs.silver_inputevents_mv, written=True)},
     ),
     "unified_inputevents": TablePlan(
         (), inputs.gold_unified_inputevents, after=("inputevents_cv", "inputevents_mv")
@@ -74,7 +76,7 @@ PLANS: dict[str, TablePlan] = {
     "prescriptions": TablePlan(
         ("prescriptions",),
         prescriptions.gold_prescriptions,
-        {"prescriptions": prescriptions.silver_prescriptions},
+        {"prescriptions": partial(prescriptions.silver_prescriptions, written=True)},
     ),
     "chart_events_named": TablePlan(
         ("chartevents", "d_items"), observations.chart_events_named, plain=True
@@ -87,7 +89,7 @@ PLANS: dict[str, TablePlan] = {
     ),
     "clinical_observation": TablePlan(
         (),
-        observations.clinical_observation,
+        partial(observations.clinical_observation, written=True),
         after=("chart_events_named", "lab_events_named"),
         plain=True,
     ),

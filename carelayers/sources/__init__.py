@@ -9,7 +9,7 @@ from carelayers.sources.layers import (
     shared_folder,
     write_layer,
 )
-from carelayers.sources.raw import RawFolder, first_rows, read_raw
+from carelayers.sources.raw import RawFolder, first_rows, read_raw, spread
 from carelayers.sources.schemas import SCHEMAS, conform
 
 __all__ = [
@@ -24,5 +24,6 @@ __all__ = [
     "read_layer",
     "read_raw",
     "shared_folder",
+    "spread",
     "write_layer",
 ]

@@ -25,7 +25,7 @@ def read_raw(
     column is text, doubled quotes inside quotes are one quote, and ``table`` names the declared
     types to convert to.
     A gzip file is one task however big it is: give ``partitions`` to spread its rows after the
-    scan, or better write the first layer once and work from there.
+    scan (or see ``spread``), or better write the first layer once and work from there.
     """
     if infer:
         df = spark.read.csv(path, header=True, inferSchema=True)
@@ -36,6 +36,16 @@ def read_raw(
     return df.repartition(partitions) if partitions else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer pieces than there are cores, else ``df``.
+
+    For costly row-wise work on a file that cannot be split: one gzip file, or Parquet with one
+    row group. A table of many pieces is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_rows(df: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
     """``n`` rows when ``n`` is above 0, else all rows; in a stated order when one is given."""
     if n <= 0:
@@ -58,10 +68,9 @@ class RawFolder(Mapping):
         infer: bool = False,
         sample: int = 0,
         whole: tuple[str, ...] = (),
-        partitions: int | None = None,
     ):
         self.spark, self.folder, self.suffix = spark, folder.rstrip("/"), suffix
-        self.infer, self.sample, self.whole, self.partitions = infer, sample, whole, partitions
+        self.infer, self.sample, self.whole = infer, sample, whole
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in SCHEMAS:
@@ -71,7 +80,6 @@ class RawFolder(Mapping):
             f"{self.folder}/{table.upper()}{self.suffix}",
             table=table,
             infer=self.infer,
-            partitions=self.partitions,
         )
         return df if table in self.whole else first_rows(df, self.sample)
 
