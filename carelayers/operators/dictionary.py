@@ -9,13 +9,15 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelayers.operators.ranking import first_within
+from carelayers.operators.ranking import DEFAULT_SKEW, Skew, big_groups, first_within
 
 # A dictionary up to this many bytes (as text, before deduplication) may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Counted on top of the text of each row.
 _ROW_OVERHEAD = 64
 
+_SALT = "__salt"
+
 
 def text_bytes(dim: DataFrame) -> int:
     """Size of a table as text, measured in one pass."""
@@ -32,6 +34,26 @@ def one_per_key(dim: DataFrame, key: str, order: Sequence[str] = ()) -> DataFram
     return first_within(dim, [key], list(order))
 
 
+def _shuffled_left_join(facts: DataFrame, side: DataFrame, key: str, skew: Skew) -> DataFrame:
+    """Left join that shuffles both sides, with the big keys of ``facts`` spread over many tasks.
+
+    Facts with a big key, or none, get one of ``skew.slices`` salts; the dictionary rows of a big
+    key are repeated for every salt. The salt depends on the input task and the row, so a task that
+    runs again gives the same one, and copies of one row from different tasks part.
+    """
+    big = [r[0] for r in big_groups(facts.where(F.col(key).isNotNull()), [key], skew)]
+    is_big = F.col(key).isin(big) if big else F.lit(False)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(skew.slices))
+    salted = facts.withColumn(
+        _SALT, F.when(F.col(key).isNull() | is_big, spread).otherwise(F.lit(0)).cast("int")
+    )
+    every = F.sequence(F.lit(0), F.lit(skew.slices - 1))
+    repeated = side.where(F.col(key).isNotNull()).withColumn(
+        _SALT, F.explode(F.when(is_big, every).otherwise(F.array(F.lit(0))))
+    )
+    return salted.join(repeated, [key, _SALT], "left").drop(_SALT)
+
+
 def enrich(
     facts: DataFrame,
     dim: DataFrame,
@@ -41,17 +63,19 @@ def enrich(
     dedup: bool = True,
     order: Sequence[str] = (),
     max_bytes: int = BROADCAST_BYTES,
+    skew: Skew = DEFAULT_SKEW,
 ) -> DataFrame:
     """Left join of ``facts`` with ``dim`` on the shared column ``key``, which comes first.
 
-    The dictionary is sent to every executor only if its measured size allows. Otherwise Spark
-    shuffles both sides, and adaptive execution splits the codes that hold much of the facts.
-    Facts without a match keep NULLs. With ``dedup=False`` a repeated key gives one row per
-    dictionary entry.
+    The dictionary is sent to every executor only if its measured size allows; beyond that both
+    sides are shuffled. Facts without a match keep NULLs. With ``dedup=False`` a repeated key gives
+    one row per dictionary entry.
     """
     columns = [c for c in (dim_columns or dim.columns) if c != key]
     side = dim.select(key, *columns)
     small = text_bytes(side) <= max_bytes
     if dedup:
         side = one_per_key(side, key, order)
-    return facts.join(F.broadcast(side) if small else side, key, "left")
+    if small:
+        return facts.join(F.broadcast(side), key, "left")
+    return _shuffled_left_join(facts, side, key, skew)

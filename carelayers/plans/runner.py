@@ -105,7 +105,7 @@ def run_table(
     name: str,
     raw: Mapping[str, DataFrame],
     root: str,
-    partitions: int | None = None,
+    files: Callable[[str], int | None] = lambda table: None,
 ) -> list[tuple[str | None, str]]:
     """Write every layer of one result; return the layers written, in order."""
     plan = PLANS[name]
@@ -114,14 +114,14 @@ def run_table(
     for table in plan.raw:
         df = raw[table]
         if not plan.plain:
-            df = materialize(df, root, "bronze", table, partitions)
+            df = materialize(df, root, "bronze", table, files(table))
             written.append(("bronze", table))
         if table in plan.silver:
-            df = materialize(plan.silver[table](df), root, "silver", table, partitions)
+            df = materialize(plan.silver[table](df), root, "silver", table, files(table))
             written.append(("silver", table))
         refined.append(df)
     refined += [read_layer(spark, root, _result_layer(other), other) for other in plan.after]
-    write_layer(plan.gold(*refined), root, _result_layer(name), name, partitions)
+    write_layer(plan.gold(*refined), root, _result_layer(name), name, files(name))
     written.append((_result_layer(name), name))
     return written
 
@@ -132,17 +132,21 @@ def run_tables(
     root: str,
     tables: Iterable[str] | None = None,
     partitions: int | None = None,
+    dictionary_partitions: int | None = None,
 ) -> DataFrame:
     """Write the chosen results (all by default) in order; return the rows of every layer.
 
     An unknown name is refused before anything is written. A result built on other results
-    expects them below ``root``, written now or earlier.
+    expects them below ``root``, written now or earlier. ``partitions`` fixes the number of files
+    of each table, ``dictionary_partitions`` that of dictionaries; by default Spark decides.
     """
     chosen = list(PLANS) if tables is None else list(tables)
     unknown = [name for name in chosen if name not in PLANS]
     if unknown:
         raise ValueError(f"unknown tables {unknown}; known: {list(PLANS)}")
-    layers = [
-        layer for name in chosen for layer in run_table(spark, name, raw, root, partitions)
-    ]
+
+    def files(table: str) -> int | None:
+        return dictionary_partitions if table.startswith("d_") else partitions
+
+    layers = [layer for name in chosen for layer in run_table(spark, name, raw, root, files)]
     return layer_counts(spark, root, layers)

@@ -53,6 +53,10 @@ def first_rows(df: DataFrame, n: int, order: list[str] | None = None) -> DataFra
     return (df.orderBy(*order) if order else df).limit(n)
 
 
+# Tables that come as plain CSV; the others are gzip.
+PLAIN_CSV = ("outputevents", "diagnoses_icd", "d_icd_diagnoses")
+
+
 class RawFolder(Mapping):
     """A folder of CSV tables as ``{table: DataFrame}``, each read when it is asked for.
 
@@ -64,23 +68,22 @@ class RawFolder(Mapping):
         spark: SparkSession,
         folder: str,
         *,
-        suffix: str = ".csv.gz",
+        plain: tuple[str, ...] = PLAIN_CSV,
         infer: bool = False,
         sample: int = 0,
         whole: tuple[str, ...] = (),
     ):
-        self.spark, self.folder, self.suffix = spark, folder.rstrip("/"), suffix
+        self.spark, self.folder, self.plain = spark, folder.rstrip("/"), plain
         self.infer, self.sample, self.whole = infer, sample, whole
 
+    def path(self, table: str) -> str:
+        suffix = ".csv" if table in self.plain else ".csv.gz"
+        return f"{self.folder}/{table.upper()}{suffix}"
+
     def __getitem__(self, table: str) -> DataFrame:
         if table not in SCHEMAS:
             raise KeyError(table)
-        df = read_raw(
-            self.spark,
-            f"{self.folder}/{table.upper()}{self.suffix}",
-            table=table,
-            infer=self.infer,
-        )
+        df = read_raw(self.spark, self.path(table), table=table, infer=self.infer)
         return df if table in self.whole else first_rows(df, self.sample)
 
     def __iter__(self) -> Iterator[str]:

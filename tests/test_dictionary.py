@@ -2,6 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelayers.operators.dictionary import enrich, one_per_key, text_bytes
+from carelayers.operators.ranking import Skew
+
+# Every row is looked at and small groups already count as big.
+EAGER = Skew(sample=1.0, min_rows=10, max_groups=3, slices=5)
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +53,31 @@ def test_repeated_codes_fan_out_when_asked(facts, dim):
     assert enrich(facts, dim, "code", dedup=False).count() == 30 * 2 + 30 * 2 + 30
 
 
+@pytest.mark.parametrize("dedup", [True, False])
+def test_big_codes_are_salted_and_nothing_changes(spark, facts, dim, rows, dedup):
+    copies = facts.union(facts.where("id = 0")).union(facts.where("id = 0")).repartition(4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        salted = enrich(copies, dim, "code", dedup=dedup, max_bytes=0, skew=EAGER)
+        assert "SortMergeJoin [code" in salted._jdf.queryExecution().executedPlan().toString()
+        got = rows(salted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == rows(enrich(copies, dim, "code", dedup=dedup))
+
+
+def test_salts_spread_a_big_code(spark, facts, dim):
+    from carelayers.operators.dictionary import _SALT, _shuffled_left_join
+
+    many = spark.range(0, 4000, 1, 8).select("id", F.lit("1").alias("code"))
+    side = one_per_key(dim, "code")
+    joined = _shuffled_left_join(many, side, "code", EAGER)
+    assert joined.count() == 4000 and _SALT not in joined.columns
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence" in plan or "explode" in plan
+
+
 def test_measured_size_grows_with_the_text(spark, dim):
     assert text_bytes(dim.where("false")) == 0
     long = dim.withColumn("label", F.repeat(F.lit("é"), 1000))

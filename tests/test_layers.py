@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from carelayers.catalog.inputs import INPUTS
 from carelayers.plans import inputs as input_plans
+from carelayers.plans.checks import table_reports
 from carelayers.plans.runner import PLANS, run_tables
 from carelayers.sources.layers import layer_path, materialize, read_layer, shared_folder, write_layer
-from carelayers.sources.raw import RawFolder, first_rows, read_raw
+from carelayers.sources.raw import RawFolder, first_rows, read_raw, spread
 
 
 @pytest.fixture
@@ -57,6 +58,12 @@ def test_doubled_quotes_and_partitions(spark, root):
     assert df.rdd.getNumPartitions() == 3
 
 
+def test_spread_only_what_comes_in_few_pieces(spark, plan):
+    one, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 50)
+    assert spread(one).rdd.getNumPartitions() == 8
+    assert "Exchange" not in plan(spread(many))
+
+
 def test_first_rows(spark):
     df = spark.range(50)
     assert first_rows(df, 0).count() == 50
@@ -70,15 +77,16 @@ def test_unknown_table_is_refused_before_writing(spark, root):
 
 
 def test_csv_to_results(spark, root, inputs, rows):
-    """Gzip CSV in, every layer out, the same results as straight from the inputs."""
+    """CSV in, every layer out, the same results as straight from the inputs."""
+    raw = RawFolder(spark, f"{root}/raw")
     for name in INPUTS:
         df = getattr(inputs, name)
         text = df.select(*[F.col(c).cast("string") for c in df.columns])
         text.repartition(2).write.csv(
-            f"{root}/raw/{name.upper()}.csv.gz", header=True, compression="gzip", quote='"',
-            escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            raw.path(name), header=True, quote='"', escape='"',
+            compression="gzip" if raw.path(name).endswith(".gz") else "none",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
-    raw = RawFolder(spark, f"{root}/raw")
     # Documents hold line breaks, which single-line records cannot carry.
     chosen = [name for name in PLANS if name != "microbiology_clean"]
     counts = run_tables(spark, raw, f"{root}/out", chosen)
@@ -94,6 +102,30 @@ def test_csv_to_results(spark, root, inputs, rows):
     exact = [c for c in direct.columns if not c.startswith("AVG_")]
     assert rows(written, exact) == rows(direct, exact)
 
+    reports = {name: table_reports(spark, f"{root}/out", name) for name in chosen}
+    assert reports["chart_events_named"] == {}
+    for name, named in reports.items():
+        for report in named:
+            df = named[report]
+            if report == "reconcile":
+                assert df.first().difference == 0, name
+            elif report.startswith("null_profile"):
+                assert {r.total for r in df.collect()} == {got[("bronze", report[13:])]}
+            else:
+                assert df.columns and df.count() >= 0, (name, report)
+    removed = reports["procedureevents_mv"]["removed"].agg(F.sum("removed")).first()[0]
+    before, after = (got[(layer, "procedureevents_mv")] for layer in ("silver", "gold"))
+    assert removed == before - after > 0
+
+
+def test_file_counts(spark, root, inputs):
+    raw = {"d_cpt": inputs.d_cpt, "procedures_icd": inputs.procedures_icd}
+    run_tables(spark, raw, root, list(raw), partitions=6, dictionary_partitions=2)
+    files = {path.split("/")[-2]: 0 for path in glob.glob(f"{root}/*/*.parquet")}
+    for path in glob.glob(f"{root}/*/*.parquet"):
+        files[path.split("/")[-2]] += 1
+    assert files["bronze_procedures_icd"] == 6 and files["gold_d_cpt"] == 2
+
 
 def test_sample_limits_all_but_the_named_tables(spark, root):
     for name in ("CPTEVENTS", "D_CPT"):

@@ -71,3 +71,26 @@ def test_cells_are_join_keys(spark, plan, inputs):
     text = plan(out)
     assert "__cell0" in text and "Join [HADM_ID" in text
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_a_big_cell_is_split_at_run_time(spark):
+    """With both sides shuffled, adaptive execution splits the partition of a hot cell."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    old = {name: spark.conf.get(name, None) for name in settings}
+    data = [(i, "hot" if i % 3 else f"k{i}", 0, START, START, "x") for i in range(900)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(8)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = near_duplicates(df, ["k"], "id", ["s", "e"])
+        assert len(out.collect()) == 600 * 599 // 2
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
