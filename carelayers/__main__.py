@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: CSV folder in, layers out, row counts shown."""
+"""Job entry, ``python -m carelayers``: CSV folder in, layers out, row counts shown."""
 
 from __future__ import annotations
 

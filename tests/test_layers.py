@@ -134,3 +134,11 @@ def test_sample_limits_all_but_the_named_tables(spark, root):
     assert raw["cptevents"].count() == 5 and raw["d_cpt"].count() == 30
     with pytest.raises(KeyError):
         raw["other"]
+
+
+def test_empty_tables_are_written_and_counted(spark, root):
+    nothing = spark.range(5).where("false")
+    assert write_layer(nothing, root, "bronze", "a") == 0
+    assert write_layer(spark.createDataFrame([], "x int"), root, "bronze", "b", partitions=2) == 0
+    assert write_layer(nothing.groupBy("id").count(), root, "gold", "c") == 0
+    assert read_layer(spark, root, "gold", "c").columns == ["id", "count"]
