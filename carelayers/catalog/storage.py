@@ -120,7 +120,7 @@ class _RawInputs(dict):
         self._inputs = t
 
     def __getitem__(self, name):
-        return getattr(self._inputs, name)
+        return self._inputs.spread(name)
 
 
 _RUN_LAYERS = [

@@ -94,10 +94,10 @@ MICROBIOLOGY = {
     "dilution_value": "DILUTION_VALUE",
     "interpretation": "INTERPRETATION",
 }
-SHARED_OBSERVATION = [
-    "subject_id", "hadm_id", "icustay_id", "event_time", "store_time", "item_id", "item_label",
-    "normalized_label", "category", "value_text", "value_num", "value_unit", "normalized_unit",
-    "event_flag",
+OBSERVATION_COLUMNS = [
+    "source_table", "source_row_id", "subject_id", "hadm_id", "icustay_id", "event_time",
+    "store_time", "item_id", "item_type", "item_label", "normalized_label", "category",
+    "value_text", "value_num", "value_unit", "normalized_unit", "event_flag",
 ]
 
 
@@ -187,13 +187,9 @@ def observations(charts: DataFrame, labs: DataFrame) -> DataFrame:
             "event_flag": F.col("flag"),
         }
     )
-    columns = ["source_table", "source_row_id", "item_type", *SHARED_OBSERVATION]
-    both = fuse(
-        [
-            tag(chart, source_table="chartevents", item_type="chart").select(*columns),
-            tag(lab, source_table="labevents", item_type="lab").select(*columns),
-        ]
-    )
+    chart = tag(chart, source_table="chartevents", item_type="chart")
+    lab = tag(lab, source_table="labevents", item_type="lab")
+    both = fuse([side.select(*OBSERVATION_COLUMNS) for side in (chart, lab)])
     identity = ("source_table", "source_row_id", "subject_id", "hadm_id", "item_id", "event_time")
     return both.withColumn("observation_id", observation_id(*[F.col(c) for c in identity]))
 

@@ -66,20 +66,17 @@ def near_duplicate_events(
     pairs = near_duplicates(
         silver, MV_PAIR_KEYS, "ROW_ID", [start, end], carry=["STATUSDESCRIPTION"]
     )
+    names = {"ID": "ROW_ID", "START": start, "END": end}
     sides = [
-        (f"{side}.{column}", f"{name}_{number}")
+        column
         for number, side in ((1, "a"), (2, "b"))
-        for name, column in (("ID", "ROW_ID"), ("START", start), ("END", end))
+        for column in (
+            *[F.col(f"{side}.{old}").alias(f"{new}_{number}") for new, old in names.items()],
+            F.col("VALUE").alias(f"VAL_{number}"),
+        )
     ]
-    return pairs.select(
-        "HADM_ID",
-        "ITEMID",
-        "CGID",
-        F.col("a.STATUSDESCRIPTION").alias("STATUS"),
-        *[F.col(path).alias(name) for path, name in sides],
-        F.col("VALUE").alias("VAL_1"),
-        F.col("VALUE").alias("VAL_2"),
-    )
+    status = F.col("a.STATUSDESCRIPTION").alias("STATUS")
+    return pairs.select("HADM_ID", "ITEMID", "CGID", status, *sides)
 
 
 def gold_d_cpt(bronze: DataFrame) -> DataFrame:
