@@ -199,7 +199,7 @@ def input_frame(
     ``spread_rows`` uses all cores for the table the rows come from (the first one named), even if
     its file cannot be split.
     """
-    folder = sf_dir.rstrip("/")
+    folder = str(sf_dir).rstrip("/")
     names = list(dict.fromkeys(_TABLE.findall(INPUTS[name])))
     tables = {table: spark.read.parquet(f"{folder}/{table}.parquet") for table in names}
     if spread_rows:
