@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the first decimal number in a dose text.
 DOSE_PATTERN = r"(\d+\.?\d*)"
+# Fixed value: a whole number written with a decimal part, such as 12.0.
+WHOLE_PART = r"^\s*([+-]?\d+)\.\d*\s*$"
 
 
 def safe_double(text: Column) -> Column:
@@ -14,7 +16,9 @@ def safe_double(text: Column) -> Column:
 
 
 def safe_long(value: Column) -> Column:
-    return value.try_cast("bigint")
+    """As a long; the decimal part of a number or text is dropped (``12.0`` gives 12)."""
+    whole = F.regexp_extract(value.cast("string"), WHOLE_PART, 1).try_cast("bigint")
+    return F.coalesce(value.try_cast("bigint"), whole)
 
 
 def parse_timestamp(text: Column, pattern: str | None = None) -> Column:

@@ -50,8 +50,9 @@ def upper_trim(text: Column) -> Column:
 
 
 def remap(code: Column, changes: Mapping[str, str]) -> Column:
-    """Replace listed string codes, leave all others (and NULL) as they are."""
-    out = code
+    """Replace listed codes, leave all others (and NULL) as they are; the result is text."""
+    text = code.cast("string")
+    out = text
     for old, new in changes.items():
-        out = F.when(code == F.lit(old), F.lit(new)).otherwise(out)
+        out = F.when(text == F.lit(old), F.lit(new)).otherwise(out)
     return out

@@ -74,7 +74,7 @@ def typed_nulls(df: DataFrame, **types: str) -> DataFrame:
 
 def exclude_code(df: DataFrame, column: str, code: str) -> DataFrame:
     """Drop rows with this code; rows with a NULL code go too."""
-    return df.where(F.col(column) != F.lit(code))
+    return df.where(F.col(column).cast("string") != F.lit(code))
 
 
 def lookup(df: DataFrame, **equals) -> DataFrame:

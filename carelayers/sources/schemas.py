@@ -6,9 +6,11 @@ Codes are strings: inference would read the code ``0331`` as the number 331 and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelayers.functions.convert import safe_long
+
 # Column types by table.
 SCHEMAS: dict[str, dict[str, str]] = {
     "cptevents": {
@@ -71,9 +73,13 @@ SCHEMAS: dict[str, dict[str, str]] = {
 }
 
 
+def _converted(column: str, kind: str) -> Column:
+    value = F.col(column)
+    whole = kind in ("int", "bigint")
+    return (safe_long(value) if whole else value).try_cast(kind).alias(column)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Convert the declared columns that ``df`` has, by name; text that does not parse gives NULL."""
     types = SCHEMAS[table]
-    return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
-    )
+    return df.select(*[_converted(c, types[c]) if c in types else F.col(c) for c in df.columns])

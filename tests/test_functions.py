@@ -58,7 +58,10 @@ def test_normalize_title(spark, title, expected):
 def test_lenient_numbers(spark):
     texts = [" 7.5 ", "n/a", "", None, "-1e3", "<=16"]
     assert apply(spark, safe_double, texts) == [7.5, None, None, None, -1000.0, None]
-    assert apply(spark, safe_long, ["12", "x", None]) == [12, None, None]
+    texts = ["12", " 7 ", "12.0", "-3.", "12.9", "1e3", "x", "", None]
+    assert apply(spark, safe_long, texts) == [12, 7, 12, -3, 12, None, None, None, None]
+    assert apply(spark, safe_long, [12.9, None, 1e12], "double") == [12, None, 10**12]
+    assert apply(spark, safe_long, [5, None], "int") == [5, None]
 
 
 def test_dose_numeric(spark):
@@ -92,6 +95,9 @@ def test_codes_and_units(spark):
     assert apply(spark, lambda c: remap(c, {"75539": "75529", "mL": "ml"}), ["75539", "mL", "x", None]) == [
         "75529", "ml", "x", None,
     ]
+    assert apply(spark, lambda c: remap(c, {"331": "0331"}), [331, 332, None], "int") == [
+        "0331", "332", None,
+    ]
     assert apply(spark, upper_trim, [" ml ", "", None]) == ["ML", "", None]
 
 
