@@ -20,16 +20,19 @@ def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*columns)
 
 
-def sparse_columns(df: DataFrame, threshold: float = 0.5) -> list[str]:
-    """Columns whose NULL share is strictly above ``threshold``; none on an empty table.
+def mostly_null(total: int, filled: Mapping[str, int], threshold: float = 0.5) -> list[str]:
+    """Columns whose NULL share is strictly above ``threshold``; none on an empty table."""
+    return [c for c, n in filled.items() if total and (total - n) / total > threshold]
 
-    One pass over the table; one row of counts reaches the driver.
-    """
-    filled = df.agg(
-        F.count(F.lit(1)).alias("__total"), *[F.count(F.col(c)).alias(c) for c in df.columns]
+
+def sparse_columns(df: DataFrame, threshold: float = 0.5) -> list[str]:
+    """The mostly NULL columns, from one pass; one row of counts reaches the driver."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count(F.col(c)).alias(f"filled{i}") for i, c in enumerate(df.columns)],
     ).first()
-    total = filled["__total"]
-    return [c for c in df.columns if total and (total - filled[c]) / total > threshold]
+    filled = {c: counts[f"filled{i}"] for i, c in enumerate(df.columns)}
+    return mostly_null(counts["total"], filled, threshold)
 
 
 def drop_sparse_columns(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelayers.operators.fuse import fuse
@@ -20,25 +20,35 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, F.lit(0.0)).otherwise(part * F.lit(100.0) / whole)
 
 
+def _profile(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        "column",
+        "null_count",
+        "total",
+        _percent(F.col("null_count"), F.col("total")).alias("null_pct"),
+        (F.col("null_count") > 0).alias("flagged"),
+    )
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Per column: NULL count, row count, percent and whether any is NULL; one pass."""
     wide = df.agg(
         _rows().alias("total"),
         *[F.count(F.col(c)).alias(f"filled{i}") for i, c in enumerate(df.columns)],
     )
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), (F.col("total") - F.col(f"filled{i}")).alias("n"))
-            for i, c in enumerate(df.columns)
-        ]
-    )
-    return wide.select("total", F.inline(cells)).select(
-        "column",
-        F.col("n").alias("null_count"),
-        "total",
-        _percent(F.col("n"), F.col("total")).alias("null_pct"),
-        (F.col("n") > 0).alias("flagged"),
-    )
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"), (F.col("total") - F.col(f"filled{i}")).alias("null_count")
+        )
+        for i, c in enumerate(df.columns)
+    ]
+    return _profile(wide.select("total", F.inline(F.array(*cells))))
+
+
+def null_profile_of(spark: SparkSession, total: int, filled: Mapping[str, int]) -> DataFrame:
+    """The same report from counts taken while the table was written."""
+    rows = [(c, total - n, total) for c, n in filled.items()]
+    return _profile(spark.createDataFrame(rows, "column string, null_count bigint, total bigint"))
 
 
 def bucket_stats(df: DataFrame, key: str) -> DataFrame:

@@ -15,7 +15,6 @@ from carelayers.operators.reports import (
     duplicate_summary,
     exact_duplicate_count,
     head_by,
-    null_profile,
     reconcile,
     top_groups,
 )
@@ -96,7 +95,7 @@ def table_reports(spark: SparkSession, root: str, name: str) -> dict[str, DataFr
 
     plan = PLANS[name]
     profiles = {
-        f"null_profile_{table}": null_profile(read("bronze", table))
+        f"null_profile_{table}": read("profile", table)
         for table in plan.raw
         if not plan.plain
     }

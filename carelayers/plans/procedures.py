@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,11 +48,19 @@ def gold_procedures_icd(silver: DataFrame) -> DataFrame:
     return edge_counts(silver, ICD_EDGE, "PROC_COUNT", PRIMARY_SEQ_NUM=F.min("SEQ_NUM"))
 
 
-def silver_procedureevents_mv(bronze: DataFrame) -> DataFrame:
-    """Without mostly empty columns (never a column that later steps need) and without rows
-    that lack a key."""
+def silver_procedureevents_mv(
+    bronze: DataFrame, sparse: Sequence[str] | None = None
+) -> DataFrame:
+    """Without mostly empty columns (never one that later steps need) and rows that lack a key.
+
+    ``sparse`` names the mostly empty columns if they are known; else one pass finds them.
+    """
     needed = {*MV_KEYS, *MV_DUPLICATE_KEYS, *MV_PAIR_KEYS, "ROW_ID", "STATUSDESCRIPTION"}
-    return drop_sparse_columns(bronze, keep=needed).transform(require_keys, MV_KEYS)
+    if sparse is None:
+        kept = drop_sparse_columns(bronze, keep=needed)
+    else:
+        kept = drop_columns(bronze, [c for c in sparse if c not in needed])
+    return require_keys(kept, MV_KEYS)
 
 
 def gold_procedureevents_mv(silver: DataFrame, written: bool = False) -> DataFrame:

@@ -8,8 +8,16 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelayers.operators.clean import mostly_null
+from carelayers.operators.reports import null_profile_of
 from carelayers.plans import inputs, observations, outputs, prescriptions, procedures
-from carelayers.sources.layers import layer_counts, materialize, read_layer, write_layer
+from carelayers.sources.layers import (
+    layer_counts,
+    materialize,
+    read_layer,
+    write_counted,
+    write_layer,
+)
 
 
 @dataclass(frozen=True)
@@ -19,7 +27,8 @@ class TablePlan:
     ``raw`` tables are written as bronze unless ``plain``; each name in ``silver`` makes a cleaned
     layer from its bronze one; ``gold`` gets the most refined layer of every raw table, in order,
     then the results named in ``after``. Steps that remove duplicates read written layers, so they
-    may look at them first.
+    may look at them first. With ``drop_sparse`` the cleaning step is told which columns are mostly
+    NULL, as counted while bronze was written.
     """
 
     raw: tuple[str, ...]
@@ -27,6 +36,7 @@ class TablePlan:
     silver: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
     after: tuple[str, ...] = ()
     plain: bool = False
+    drop_sparse: bool = False
 
 
 PLANS: dict[str, TablePlan] = {
@@ -44,6 +54,7 @@ PLANS: dict[str, TablePlan] = {
         ("procedureevents_mv",),
         partial(procedures.gold_procedureevents_mv, written=True),
         {"procedureevents_mv": procedures.silver_procedureevents_mv},
+        drop_sparse=True,
     ),
     "d_cpt": TablePlan(("d_cpt",), procedures.gold_d_cpt),
     "d_icd_procedures": TablePlan(("d_icd_procedures",), procedures.gold_d_icd_procedures),
@@ -107,17 +118,26 @@ def run_table(
     root: str,
     files: Callable[[str], int | None] = lambda table: None,
 ) -> list[tuple[str | None, str]]:
-    """Write every layer of one result; return the layers written, in order."""
+    """Write every layer of one result; return the layers written, in order.
+
+    The NULL profile of each bronze table is counted by its write and kept as layer ``profile``.
+    """
     plan = PLANS[name]
     written: list[tuple[str | None, str]] = []
     refined: list[DataFrame] = []
     for table in plan.raw:
         df = raw[table]
+        known = {}
         if not plan.plain:
-            df = materialize(df, root, "bronze", table, files(table))
+            total, filled = write_counted(df, root, "bronze", table, files(table), df.columns)
+            write_layer(null_profile_of(spark, total, filled), root, "profile", table, 1)
+            df = read_layer(spark, root, "bronze", table)
             written.append(("bronze", table))
+            if plan.drop_sparse:
+                known = {"sparse": mostly_null(total, filled)}
         if table in plan.silver:
-            df = materialize(plan.silver[table](df), root, "silver", table, files(table))
+            cleaned = plan.silver[table](df, **known)
+            df = materialize(cleaned, root, "silver", table, files(table))
             written.append(("silver", table))
         refined.append(df)
     refined += [read_layer(spark, root, _result_layer(other), other) for other in plan.after]

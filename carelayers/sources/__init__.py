@@ -7,6 +7,7 @@ from carelayers.sources.layers import (
     materialize,
     read_layer,
     shared_folder,
+    write_counted,
     write_layer,
 )
 from carelayers.sources.raw import RawFolder, first_rows, read_raw, spread
@@ -25,5 +26,6 @@ __all__ = [
     "read_raw",
     "shared_folder",
     "spread",
+    "write_counted",
     "write_layer",
 ]

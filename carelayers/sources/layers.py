@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,19 +33,34 @@ def read_layer(spark: SparkSession, root: str, layer: str | None, table: str) ->
     return spark.read.parquet(layer_path(root, layer, table))
 
 
-def write_layer(
-    df: DataFrame, root: str, layer: str | None, table: str, partitions: int | None = None
-) -> int:
-    """Overwrite a layer and return its row count, counted while writing.
+def write_counted(
+    df: DataFrame,
+    root: str,
+    layer: str | None,
+    table: str,
+    partitions: int | None = None,
+    columns: Sequence[str] = (),
+) -> tuple[int, dict[str, int]]:
+    """Overwrite a layer; return its rows and the non-NULL values of ``columns``.
 
-    Without ``partitions`` the rows are written where they are and adaptive execution sizes
-    the files of shuffled results; with it, one more shuffle makes at most that many files.
+    Both are counted by the write itself. Without ``partitions`` the rows are written where they
+    are and adaptive execution sizes the files of shuffled results; with it, one more shuffle makes
+    at most that many files.
     """
     written = Observation()
     out = df.repartition(partitions) if partitions else df
-    out = out.observe(written, F.count(F.lit(1)).alias("rows"))
+    filled = [F.count(F.col(c)).alias(f"filled{i}") for i, c in enumerate(columns)]
+    out = out.observe(written, F.count(F.lit(1)).alias("rows"), *filled)
     out.write.mode("overwrite").parquet(layer_path(root, layer, table))
-    return written.get["rows"]
+    counts = written.get
+    return counts["rows"], {c: counts[f"filled{i}"] for i, c in enumerate(columns)}
+
+
+def write_layer(
+    df: DataFrame, root: str, layer: str | None, table: str, partitions: int | None = None
+) -> int:
+    """Overwrite a layer and return its row count."""
+    return write_counted(df, root, layer, table, partitions)[0]
 
 
 def materialize(

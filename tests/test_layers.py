@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelayers.catalog.inputs import INPUTS
+from carelayers.operators.reports import null_profile, null_profile_of
 from carelayers.plans import inputs as input_plans
 from carelayers.plans.checks import table_reports
 from carelayers.plans.runner import PLANS, run_tables
@@ -113,6 +114,11 @@ def test_csv_to_results(spark, root, inputs, rows):
                 assert {r.total for r in df.collect()} == {got[("bronze", report[13:])]}
             else:
                 assert df.columns and df.count() >= 0, (name, report)
+    bronze = read_layer(spark, f"{root}/out", "bronze", "procedureevents_mv")
+    counted = reports["procedureevents_mv"]["null_profile_procedureevents_mv"]
+    assert rows(counted) == rows(null_profile(bronze))
+    silver = read_layer(spark, f"{root}/out", "silver", "procedureevents_mv")
+    assert set(bronze.columns) - set(silver.columns) == {"COMMENTS_DATE"}
     removed = reports["procedureevents_mv"]["removed"].agg(F.sum("removed")).first()[0]
     before, after = (got[(layer, "procedureevents_mv")] for layer in ("silver", "gold"))
     assert removed == before - after > 0
@@ -142,3 +148,9 @@ def test_empty_tables_are_written_and_counted(spark, root):
     assert write_layer(spark.createDataFrame([], "x int"), root, "bronze", "b", partitions=2) == 0
     assert write_layer(nothing.groupBy("id").count(), root, "gold", "c") == 0
     assert read_layer(spark, root, "gold", "c").columns == ["id", "count"]
+
+
+def test_profile_of_an_empty_table(spark):
+    assert [tuple(r) for r in null_profile_of(spark, 0, {"a": 0}).collect()] == [
+        ("a", 0, 0, 0.0, False)
+    ]
