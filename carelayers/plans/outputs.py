@@ -23,8 +23,12 @@ def silver_outputevents(bronze: DataFrame) -> DataFrame:
 
 
 def gold_outputevents(silver: DataFrame) -> DataFrame:
-    """Times as timestamps, nullable ids as long."""
-    times = {c: parse_timestamp(F.col(c), TIME_FORMAT) for c in ("CHARTTIME", "STORETIME")}
+    """Times as timestamps, nullable ids as long. Times that are no text any more stay as they are."""
+    kinds = dict(silver.dtypes)
+    times = {
+        c: parse_timestamp(F.col(c), TIME_FORMAT if kinds[c] == "string" else None)
+        for c in ("CHARTTIME", "STORETIME")
+    }
     ids = {c: safe_long(F.col(c)) for c in ("HADM_ID", "ICUSTAY_ID")}
     return silver.withColumns({**times, **ids})
 

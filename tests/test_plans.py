@@ -92,3 +92,19 @@ def test_text_rules_equal_another_regex_engine(spark, seed):
         assert row.c == spaced.strip(" ").lower(), repr(text)
         kept = re.sub(r"[^\w\s<>+]", "", text.lower().strip(" "), flags=re.ASCII)
         assert row.n == re.sub(r"\s+", " ", kept, flags=re.ASCII), repr(text)
+
+
+def test_output_times_may_be_typed_already(spark, inputs):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        time = F.lit("2101-10-20 16:40:00.5")
+        typed = inputs.outputevents.withColumns(
+            {"CHARTTIME": time.cast("timestamp"), "STORETIME": time.cast("timestamp_ntz")}
+        )
+        gold = outputs.gold_outputevents(typed).selectExpr(
+            "cast(CHARTTIME as string) as a", "cast(STORETIME as string) as b"
+        )
+        assert set(map(tuple, gold.collect())) == {("2101-10-20 16:40:00.5",) * 2}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

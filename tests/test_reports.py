@@ -84,7 +84,8 @@ def test_representative_skips_nulls_and_has_an_order(spark):
 def test_compare_layers(spark):
     before = spark.range(10).select((F.col("id") % 3).alias("k"), "id")
     after = before.where("id < 4")
-    got = {r.k: (r.rows_before, r.rows_after, r.removed) for r in compare_counts(before, after, "k").collect()}
+    counts = compare_counts(before, after, "k").collect()
+    got = {r.k: (r.rows_before, r.rows_after, r.removed) for r in counts}
     assert got == {0: (4, 2, 2), 1: (3, 1, 2), 2: (3, 1, 2)}
     shown = compare_rows(before, after, "k", 0, ["id"], ["id"]).collect()
     assert [tuple(r) for r in shown] == [
