@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, packing
+from carelayers.llm import bpe, language, lines, packing, secrets
 from carelayers.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,11 +30,64 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_register("op1_language")
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.train(docs.where(~language.held_out()))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @_register("op4_bpe")
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), default_tokenizer())
 
 
+OP5_SQL = """
+with places as (
+    select doc_id, source, unnest(string_split(text, chr(10))) as line,
+           generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from documents where text is not null
+), shared as (
+    select line, min(row(doc_id, pos)) as first from places where line <> ''
+    group by line having count(distinct source) >= 10
+), marked as (
+    select places.*, shared.line is not null and doc_id is not null
+           and row(doc_id, pos) <> shared.first as removed
+    from places left join shared using (line)
+), rebuilt as (
+    select doc_id, coalesce(string_agg(line, chr(10) order by pos) filter (not removed), '') as text,
+           count(*) filter (removed) as n_removed
+    from marked group by doc_id
+)
+select documents.doc_id, rebuilt.text, coalesce(rebuilt.n_removed, 0) as n_removed
+from documents left join rebuilt using (doc_id)
+"""
+
+
+@_register("op5_lines", OP5_SQL)
+def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    return lines.dedup_lines(docs).drop("source")
+
+
 @_register("op8_packing")
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), default_tokenizer())
+
+
+@_register("op10_secrets")
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    spans = F.col("spans")
+
+    def of(*kinds: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in secrets.PATTERN_KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.written(of(*secrets.PATTERN_KINDS)), 256).alias("base_sha256"),
+        secrets.written(spans).alias("spans"),
+    )
