@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, language, lines, packing, secrets
+from carelayers.llm import bpe, language, lines, packing, secrets, topk
 from carelayers.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,29 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+OP2_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    from embeddings
+    where vec_id is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+           cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+    from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    where q.vec_id % 50 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+       vec_id, score
+from scored qualify rank <= 5
+"""
+
+
+@_register("op2_topk", OP2_SQL)
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"))
+
+
 @_register("op4_bpe")
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), default_tokenizer())
