@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, language, lines, packing, secrets, topk
+from carelayers.llm import bpe, embeddings, language, lines, packing, secrets, topk
 from carelayers.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,11 @@ def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(docs).drop("source")
 
 
+@_register("op7_embeddings")
+def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 @_register("op8_packing")
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), default_tokenizer())
