@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, embeddings, language, lines, packing, secrets, topk
+from carelayers.llm import bpe, embeddings, language, lines, packing, secrets, topk, warc
 from carelayers.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,27 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"))
 
 
+OP3_SQL = """
+with paid as (
+    select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes,
+           sha256(coalesce(html, '')) as payload_digest
+    from pages
+), groups as (
+    select payload_digest, min(page_id) as first from paid where payload_bytes >= 100 group by payload_digest
+)
+select page_id, payload_bytes, payload_digest,
+       case when page_id > first then 'revisit' else 'response' end as record_type,
+       case when page_id > first then first end as refers_to
+from paid left join groups using (payload_digest)
+"""
+
+
+@_register("op3_warc", OP3_SQL)
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write_archives(_table(spark, folder, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(index)
+
+
 @_register("op4_bpe")
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), default_tokenizer())
