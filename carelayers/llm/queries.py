@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, embeddings, language, lines, packing, secrets, topk, warc
+from carelayers.llm import bpe, embeddings, language, lines, neardup, packing, secrets, topk, warc
 from carelayers.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,11 @@ def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(docs).drop("source")
 
 
+@_register("op6_neardup")
+def op6_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
 @_register("op7_embeddings")
 def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
