@@ -214,17 +214,19 @@ def train(
     return model_of(kept.drop("place").toPandas())
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``lang_pred`` and ``score``, which replace columns of that name.
+def identify(
+    docs: DataFrame, model: Model, text_col: str = "text", into: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """Every row of ``docs`` with language and score as columns ``into``, which replace such columns.
 
     Looks at the whole text. Texts that are NULL or have no letter are ``und`` with score 0; so is
     all text if the model knows no language. No shuffle; other columns are passed on.
     """
-    columns = [F.col(c) for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    columns = [F.col(c) for c in docs.columns if c.lower() not in {n.lower() for n in into}]
     whole = docs.select(*columns)
     text_at = whole.columns.index(text_col)
-    # The answer travels as one field, whatever other columns are called.
-    schema = T.StructType([*whole.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    answer = [T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())]
+    schema = T.StructType([*whole.schema.fields, *answer])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     lettered = whole.select("*", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
 
@@ -238,7 +240,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 found, sure = shared.value.predict([t.encode() for t in some.to_pylist()])
                 langs[has], scores[has] = found, sure
             arrays = [part.column(i) for i in range(part.num_columns - 1)]
-            names = [*part.schema.names[:-1], "lang_pred", "score"]
+            names = [*part.schema.names[:-1], *into]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(langs, pa.string()), pa.array(scores)], names=names)
 
     return lettered.mapInArrow(run, schema)

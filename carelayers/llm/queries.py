@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, embeddings, language, lines, neardup, packing, secrets, topk, warc
+from carelayers.llm import bpe, chat, embeddings, language, lines, neardup, packing, secrets, topk, warc
 from carelayers.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +130,45 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), default_tokenizer())
 
 
+OP9_SQL = """
+with ranked as (
+    select conv_id, role, coalesce(replace(text, '<|', '<\\|'), '') as body,
+           row_number() over (partition by conv_id order by turn nulls first, role nulls first,
+                              coalesce(text, '')) as place
+    from conversations
+), segmented as (
+    select *, cast(floor((place - 1) / 64) as bigint) as segment from ranked
+), speakers as (
+    select distinct conv_id, segment, role as perspective from segmented where role <> 'system'
+), pieces as (
+    select s.conv_id, s.segment, s.perspective, t.place, coalesce(t.role = s.perspective, false) as own,
+           '<|im_start|>' || case when t.role = 'system' then 'system'
+               when t.role = s.perspective then 'assistant'
+               else 'user name=' || regexp_replace(replace(coalesce(t.role, 'unknown'), '<|', '<\\|'),
+                                                   '\\s+', ' ', 'g') end || chr(10) as head,
+           t.body || '<|im_end|>' as body
+    from speakers s join segmented t
+      on s.conv_id is not distinct from t.conv_id and s.segment = t.segment
+), placed as (
+    select *, length(head) + coalesce(sum(length(head) + length(body) + 1) over (
+               partition by conv_id, segment, perspective order by place
+               rows between unbounded preceding and 1 preceding), 0) as start
+    from pieces
+)
+select conv_id, segment, perspective, count(*) as n_turns,
+       string_agg(head || body || chr(10), '' order by place) as text,
+       string_agg(start || ':' || (start + length(body)), ',' order by place) filter (own) as masks
+from placed group by conv_id, segment, perspective
+"""
+
+
+@_register("op9_chat", OP9_SQL)
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    sides = chat.perspectives(_table(spark, folder, "conversations"))
+    spans = F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"]))
+    return sides.withColumn("masks", F.array_join(spans, ","))
+
+
 @_register("op10_secrets")
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
