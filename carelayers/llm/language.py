@@ -126,8 +126,8 @@ class Model:
         data = np.frombuffer(b"".join(_START + d for d in docs), dtype=np.uint8)
         owner = np.repeat(np.arange(len(docs)), sizes + ORDER)[ORDER:]
         inside = np.ones(len(owner), dtype=bool)
-        for back in range(ORDER):
-            inside[np.cumsum(sizes + ORDER)[:-1] - back + ORDER - 1] = False
+        for back in range(ORDER):  # what stands before a text costs nothing
+            inside[np.cumsum(sizes + ORDER)[:-1] - back - 1] = False
         total = np.zeros((len(docs), len(self.languages)))
         for start in range(0, len(owner), _STEP):
             some = slice(start, start + _STEP)

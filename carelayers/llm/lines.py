@@ -97,12 +97,11 @@ def dedup_lines(
     found = places.join(shared, ["h1", "h2"]).where("id is not null and struct(id, pos) <> first")
     lost = found.groupBy("id").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
     whole = docs.select(*[F.col(c) for c in docs.columns if c.lower() != removed_col.lower()])
-    columns = [f"whole.`{c}`" for c in whole.columns]
-    joined = whole.alias("whole").join(
-        lost.alias("lost"), F.col(f"whole.`{id_col}`") == F.col("lost.id"), "left"
-    )
-    text = F.col(f"whole.`{text_col}`")
-    clean = F.when(F.col("removed").isNull(), text).otherwise(_without(text, F.col("removed")))
-    n = F.when(text.isNull() | F.col("removed").isNull(), 0).otherwise(F.size("removed"))
-    picked = [clean.alias(text_col) if c == f"whole.`{text_col}`" else F.col(c) for c in columns]
+    same_id = F.col(f"whole.`{id_col}`") == F.col("lost.id")
+    joined = whole.alias("whole").join(lost.alias("lost"), same_id, "left")
+    text, removed = F.col(f"whole.`{text_col}`"), F.col("lost.removed")
+    untouched = text.isNull() | removed.isNull()
+    clean = F.when(untouched, text).otherwise(_without(text, removed))
+    n = F.when(untouched, 0).otherwise(F.size(removed))
+    picked = [clean.alias(c) if c == text_col else F.col(f"whole.`{c}`") for c in whole.columns]
     return joined.select(*picked, n.cast("bigint").alias(removed_col))

@@ -30,8 +30,11 @@ BANDS, ROWS = 64, 6
 REGISTERS = BANDS * ROWS
 #: Registers are steps of a scale of base ``e ** STEP``, from ``e ** -LOWEST`` on.
 STEP, LOWEST = 0.1, 25
-#: Likeliest similarities below this are left out: over six standard deviations under the threshold.
-LIKELY = 0.6
+#: Likeliest similarities below this are left out: five standard deviations under the threshold.
+LIKELY = 0.64
+#: Registers that sketches have in common if they may link, of the first ones and of all: seven and
+#: eight deviations under what the threshold lets expect.
+FIRST, LEAST_FIRST, LEAST_EQUAL = 64, 24, 222
 #: Rows of a bucket that are compared with as many others at once.
 BLOCK = 256
 #: Lists of ids of up to so many rows (8 bytes each) are sent to every executor, longer ones shuffled.
@@ -210,46 +213,56 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0).filter(go), part.column(1).filter(go)], names=["a", "b"])
 
 
+_GROUP = ["band", "i", "j"]
+
+
 def _compare_blocks(id_type: pa.DataType):
-    """Likely pairs of different components among rows that come group by group, sorted."""
+    """``(a, b, similarity)`` of the likely pairs of different components in every group.
+
+    Groups come one after the other, sorted; those that end in a batch are compared together, each
+    row with the row one, two, three ... places after it.
+    """
 
-    def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        column = {name: rows.column(name).to_numpy() for name in ("component", "block", "n")}
+    def pairs(rows: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        component, block, n = (rows.column(c).to_numpy() for c in ("component", "block", "n"))
+        one_block = rows.column("i").to_numpy() == rows.column("j").to_numpy()
         registers = _bytes_of(rows.column("registers"), REGISTERS)
-        i_block = rows.column("i")[0].as_py()
-        j_block = rows.column("j")[0].as_py()
-        left = np.flatnonzero(column["block"] == i_block)
-        right = np.flatnonzero(column["block"] == j_block)
-        ids = rows.column("id")
-        for x in left:
-            y = right[right > x] if i_block == j_block else right
-            n, m = column["n"][x], column["n"][y]
+        first = registers[:, :FIRST].copy()
+        ids = rows.column("id").combine_chunks()
+        last = np.searchsorted(group, group, side="right") - 1
+        left = np.arange(len(group))
+        for step in range(1, int((last - left).max(initial=0)) + 1):
+            left = left[left + step <= last[left]]
+            x, y = left, left + step
             # Sizes that are too far apart cannot link; components that are one need not.
-            y = y[(column["component"][y] != column["component"][x]) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))]
-            if not len(y):
+            go = (component[x] != component[y]) & (one_block[x] | (block[x] != block[y]))
+            go &= 100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y])
+            x, y = x[go], y[go]
+            go = (first[x] == first[y]).sum(axis=1) >= LEAST_FIRST
+            x, y = x[go], y[go]
+            go = (registers[x] == registers[y]).sum(axis=1) >= LEAST_EQUAL
+            x, y = x[go], y[go]
+            if not len(x):
                 continue
-            a = np.repeat(registers[x][None], len(y), axis=0)
-            n_x = np.full(len(y), float(column["n"][x]))
-            y = y[likeliest(a, registers[y], n_x, column["n"][y].astype(float)) >= LIKELY]
-            if len(y):
-                b = ids.take(pa.array(y)).combine_chunks()
-                yield pa.RecordBatch.from_arrays([pa.array([ids[int(x)].as_py()] * len(y), id_type), b], names=["a", "b"])
+            similarity = likeliest(registers[x], registers[y], n[x].astype(float), n[y].astype(float))
+            go = similarity >= LIKELY
+            if go.any():
+                a, b = (ids.take(pa.array(side[go])) for side in (x, y))
+                yield pa.RecordBatch.from_arrays([a, b, pa.array(similarity[go])], names=["a", "b", "similarity"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "i", "j")])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for start, end in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(start, end - start)
-                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("band", "i", "j")):
-                    yield from pairs(held)
-                    held = []
-                if part.num_rows:
-                    held.append(part)
-        if held:
-            yield from pairs(held)
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            keys = np.stack([held.column(c).to_numpy() for c in _GROUP])
+            group = np.cumsum(np.r_[0, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]) if held.num_rows else np.zeros(0, int)
+            ended = int(np.searchsorted(group, group[-1])) if len(group) else 0
+            if ended:
+                yield from pairs(held.slice(0, ended).combine_chunks(), group[:ended])
+                held = held.slice(ended)
+        if held is not None and held.num_rows:
+            yield from pairs(held.combine_chunks(), np.zeros(held.num_rows, int))
 
     return run
 
@@ -271,10 +284,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without an id, whose component is NULL and which is kept. Rows that repeat an id are documents of
     their own that share the id as a node. An empty table gives no rows.
 
-    Equal sets are one class, whose smallest id stands for it. Within a bucket of a band, each class
-    is first compared with the bucket's smallest, which is one pair per class and band however large
-    the bucket; what these links join is then one component. Only classes of a bucket that are still
-    in different components are compared with each other, in blocks; nothing is left out.
+    Equal sets are one class, whose smallest id stands for it. The hub of a bucket is the class that
+    meets most others over all buckets. First each class is compared with the hub it shares most bands
+    with, which is one pair per class however large the groups; what these links join is then one
+    component. Then, in buckets whose classes are still in different components, each class is
+    compared with the likeliest one of another component, and last with all of them. These
+    comparisons of sketches are made in blocks, within a task, and nothing is left out.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "neardup")
@@ -296,23 +311,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda i: F.xxhash64(i, F.substring("registers", i * ROWS + 1, F.lit(ROWS))),
     )
     in_bands = heads.select("id", F.explode(pieces).alias("band"))
-    leaders = in_bands.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-    leaders = leaders.where("leader < last").drop("last")
-    members = written(in_bands.join(leaders, "band").where("id <> leader"), "members")
-
-    met = members.select("id").union(members.select(F.col("leader").alias("id"))).distinct()
-    met = written(met, "met")
-    known = only(all_rows.select("id", "n", "registers"), met)
+    shared = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    members = written(in_bands.join(shared, "band"), "members")
+    weights = written(members.groupBy("id").agg(F.sum("rows").alias("weight")), "weights")
+    known = only(all_rows.select("id", "n", "registers"), weights.select("id"))
     # A repeated id keeps one of its sketches; its links are checked on full sets all the same.
     known = written(known.groupBy("id").agg(F.max(F.struct("n", "registers")).alias("s")).select("id", "s.*"), "known")
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        for side in "ab":
-            sketch = known.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"registers_{side}"))
-            pairs = pairs.join(sketch, side)
-        columns = ["a", "b", "n_a", "n_b", "registers_a", "registers_b"]
-        return pairs.select(*columns).mapInArrow(_likely, f"a {id_kind}, b {id_kind}")
-
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the candidate pairs that link by their full sets."""
         pairs = written(pairs, f"{name}-pairs")
@@ -325,39 +330,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = pairs.select("a", "b", "shingles_a", "shingles_b").mapInArrow(_linked, f"a {id_kind}, b {id_kind}")
         return written(found.distinct(), f"{name}-links")
 
-    def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components."""
-        for side in "ab":
-            pairs = pairs.join(joined.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left")
-        return pairs.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-
-    # First each class and the leader it meets in most bands, then its other leaders.
-    stars = members.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("bands"))
-    stars = written(stars, "stars")
-    closest = stars.groupBy("id").agg(F.max(F.struct("bands", "leader")).alias("best"))
-    links = linked(likely(closest.select(F.col("id").alias("a"), F.col("best.leader").alias("b"))), "first")
+    # First each class and the hub that it shares most bands with.
+    hubs = members.join(weights, "id").groupBy("band").agg(F.max(F.struct("weight", "id")).alias("hub"))
+    stars = members.join(hubs.select("band", F.col("hub.id").alias("hub")), "band").where("id <> hub")
+    stars = stars.groupBy("id", "hub").agg(F.count(F.lit(1)).alias("bands"))
+    closest = stars.groupBy("id").agg(F.max(F.struct("bands", "hub")).alias("best"))
+    pairs = closest.select(F.col("id").alias("a"), F.col("best.hub").alias("b"))
+    for side in "ab":
+        sketch = known.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"registers_{side}"))
+        pairs = pairs.join(sketch, side)
+    pairs = pairs.select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
+    links = linked(pairs.mapInArrow(_likely, f"a {id_kind}, b {id_kind}"), "star")
     joined = components(links)
-    others = apart(stars.select(F.col("id").alias("a"), F.col("leader").alias("b")), joined)
-    links = links.unionByName(linked(likely(others), "second"))
+
+    def in_split_buckets(joined: DataFrame, name: str) -> DataFrame:
+        """``(a, b, similarity)`` of likely pairs in different components, each bucket whole."""
+        parts = members.select("band", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+        parts = written(parts.select("band", "id", F.coalesce("component", "id").alias("component")), f"{name}-parts")
+        split = parts.groupBy("band").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows")
+        )
+        split = split.where("low <> high").select("band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+        blocked = parts.join(split, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        blocked = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        blocked = blocked.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        blocked = blocked.join(known, "id").select(*_GROUP, "id", "component", "block", "n", "registers")
+        by_group = blocked.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+        compare = _compare_blocks(to_arrow_type(docs.schema[id_col].dataType))
+        return by_group.mapInArrow(compare, f"a {id_kind}, b {id_kind}, similarity double")
+
+    found = in_split_buckets(joined, "closest")
+    found = found.union(found.select("b", "a", "similarity"))
+    best = found.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("best")).select("a", "best.b")
+    links = links.unionByName(linked(best, "closest"))
     joined = components(links)
 
-    # Last all classes of a bucket that are in different components.
-    in_buckets = members.select("band", "id").union(members.select("band", F.col("leader").alias("id"))).distinct()
-    parts = in_buckets.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    parts = written(parts.select("band", "id", F.coalesce("component", "id").alias("component")), "parts")
-    split = parts.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows")
-    )
-    split = split.where("low <> high").select("band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    blocked = parts.join(split, "band").withColumn("block", block)
-    blocked = blocked.join(known, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocked = blocked.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    blocked = blocked.select("band", "i", "j", "id", "component", "block", "n", "registers")
-    by_group = blocked.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id")
-    id_type = to_arrow_type(docs.schema[id_col].dataType)
-    rest = by_group.mapInArrow(_compare_blocks(id_type), f"a {id_kind}, b {id_kind}").distinct()
-    links = links.unionByName(linked(rest, "third"))
+    rest = in_split_buckets(joined, "rest").select("a", "b").distinct()
+    links = links.unionByName(linked(rest, "rest"))
     joined = components(links)
 
     label = classes.join(joined.withColumnRenamed("node", "id"), "id", "left")

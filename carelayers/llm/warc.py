@@ -139,16 +139,18 @@ def train_dictionary(pages: DataFrame, id_col: str, url_col: str, html_col: str)
 
     At most ``SAMPLE_RECORDS`` whole records of at most ``SAMPLE_BYTES`` reach the driver.
     """
-    size = F.octet_length(F.coalesce(html_col, F.lit("")))
-    short = pages.where(F.col(id_col).isNotNull() & size.between(1, SAMPLE_BYTES))
+    length = F.octet_length(F.coalesce(html_col, F.lit("")))
+    short = pages.where(F.col(id_col).isNotNull() & length.between(1, SAMPLE_BYTES))
     ids = short.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_RECORDS)
     rows = short.join(F.broadcast(ids.distinct()), id_col, "left_semi").select(id_col, url_col, html_col)
     samples = []
     for row in rows.limit(SAMPLE_RECORDS).collect():
         payload = row[2].encode()
         samples.append(record(row[0], row[1], payload, hashlib.sha256(payload).hexdigest()))
+    # A dictionary needs about ten times its size to learn from.
+    size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 10)
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes() if samples else b""
+        return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes() if size else b""
     except zstandard.ZstdError:  # too little to learn from
         return b""
 
