@@ -161,7 +161,7 @@ class _Archive:
     def __init__(self, uri: str, dictionary: bytes):
         self.uri, self.records = uri, 0
         filesystem, path = pafs.FileSystem.from_uri(uri)
-        self.out = filesystem.open_output_stream(path)
+        self.out = filesystem.open_output_stream(path, compression=None)
         self.bytes = 0
         options = {}
         if dictionary:
@@ -275,7 +275,7 @@ def read_archives(index: DataFrame) -> DataFrame:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 filesystem, path = pafs.FileSystem.from_uri(uri)
-                with filesystem.open_input_stream(path) as raw:
+                with filesystem.open_input_stream(path, compression=None) as raw:
                     held = []
                     for row in read_records(raw):
                         held.append([row[n] for n in names])
