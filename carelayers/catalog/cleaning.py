@@ -144,8 +144,8 @@ def point_lookup(t):
 
 
 STEPS["step_cpt_ranked"] = """
-    select *, row_number() over (partition by HADM_ID, CPT_CD order by ROW_ID nulls first,
-      SUBJECT_ID nulls first, SECTIONHEADER nulls first, SUBSECTIONHEADER nulls first) as rank
+    select *, row_number() over (partition by HADM_ID, CPT_CD order by ROW_ID nulls last,
+      SUBJECT_ID nulls last, SECTIONHEADER nulls last, SUBSECTIONHEADER nulls last) as rank
     from step_cpt_clean"""
 
 
@@ -217,7 +217,7 @@ def dedup_full_row(t):
     "dedup_dictionary",
     """select * exclude (n) from (
          select ITEMID, LABEL, UNITNAME, row_number() over (partition by ITEMID
-           order by LABEL nulls first, UNITNAME nulls first) as n from in_d_items) where n = 1""",
+           order by LABEL nulls last, UNITNAME nulls last) as n from in_d_items) where n = 1""",
 )
 def dedup_dictionary(t):
     return one_per_key(t.d_items.select("ITEMID", "LABEL", "UNITNAME"), "ITEMID")

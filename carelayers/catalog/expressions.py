@@ -177,10 +177,10 @@ def event_time(t):
 
 STEPS["step_item"] = """
     select * exclude (n) from (
-      select *, row_number() over (partition by ITEMID order by LABEL nulls first,
-        ABBREVIATION nulls first, DBSOURCE nulls first, LINKSTO nulls first,
-        CATEGORY nulls first, UNITNAME nulls first, PARAM_TYPE nulls first,
-        CONCEPTID nulls first) as n from in_d_items) where n = 1"""
+      select *, row_number() over (partition by ITEMID order by LABEL nulls last,
+        ABBREVIATION nulls last, DBSOURCE nulls last, LINKSTO nulls last,
+        CATEGORY nulls last, UNITNAME nulls last, PARAM_TYPE nulls last,
+        CONCEPTID nulls last) as n from in_d_items) where n = 1"""
 
 
 @register(

@@ -97,7 +97,7 @@ INPUTS: dict[str, str] = {
           cast(null as varchar(5)) as ERROR, l_returnflag as RESULTSTATUS,
           l_linestatus as STOPPED
         from {{lineitem}}""",
-    # Every item twice; items whose number ends in 0 are listed under another code.
+    # Every item three times, once without a label; items whose number ends in 0 are listed under another code.
     "d_items": """
         select case when p_partkey % 10 = 0 then concat('X', cast(p_partkey as varchar(20)))
             else cast(p_partkey as varchar(20)) end as ITEMID,
@@ -112,6 +112,12 @@ INPUTS: dict[str, str] = {
             else cast(p_partkey as varchar(20)) end,
           upper(p_name), p_brand, 'metavision', 'chartevents', p_type, 'dup', 'Text',
           cast(null as varchar(5))
+        from {part}
+        union all
+        select case when p_partkey % 10 = 0 then concat('X', cast(p_partkey as varchar(20)))
+            else cast(p_partkey as varchar(20)) end,
+          cast(null as varchar(5)), cast(null as varchar(5)), 'carevue', 'chartevents', p_type,
+          cast(null as varchar(5)), 'Text', cast(null as varchar(5))
         from {part}""",
     "labevents": """
         select cast(event_id as varchar(20)) as ROW_ID, cast(user_id as varchar(20)) as SUBJECT_ID,
@@ -148,7 +154,8 @@ INPUTS: dict[str, str] = {
     "inputevents_cv": """
         select event_id as ROW_ID, user_id as SUBJECT_ID,
           case when event_id % 31 = 0 then null else user_id % 7 end as HADM_ID,
-          event_type as ITEMID, ts as CHARTTIME, value as AMOUNT,
+          event_type as ITEMID, case when event_id % 41 = 0 then null else ts end as CHARTTIME,
+          value as AMOUNT,
           case when event_id % 3 = 0 then ' ml' when event_id % 3 = 1 then null
             else 'ML ' end as AMOUNTUOM,
           case when event_id % 5 = 0 then null else value / 10 end as RATE,
@@ -159,7 +166,7 @@ INPUTS: dict[str, str] = {
     "inputevents_mv": """
         select event_id as ROW_ID, user_id as SUBJECT_ID,
           case when event_id % 37 = 0 then null else user_id % 7 end as HADM_ID,
-          event_type as ITEMID, ts as STARTTIME,
+          event_type as ITEMID, case when event_id % 43 = 0 then null else ts end as STARTTIME,
           case when event_id % 9 = 0 then null else ts + interval 45 minutes end as ENDTIME,
           value as AMOUNT, 'mg' as AMOUNTUOM, value / 10 as RATE, 'mg/min' as RATEUOM,
           case when event_id % 5 = 1 then null else upper(event_type) end as ORDERCATEGORYNAME
@@ -182,7 +189,8 @@ INPUTS: dict[str, str] = {
             else cast(p_size as varchar(5)) end as DOSE_VAL_RX,
           case when p_size % 5 = 1 then null else 'mg' end as DOSE_UNIT_RX,
           case when l_linenumber = 4 then null else 'TAB' end as FORM_UNIT_DISP,
-          lower(concat(' ', p_type)) as ROUTE, o_orderdate as STARTDATE,
+          lower(concat(' ', p_type)) as ROUTE,
+          case when l_linenumber = 6 then null else o_orderdate end as STARTDATE,
           case when l_linenumber = 5 then null else l_shipdate end as ENDDATE
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
           join {{part}} on l_partkey = p_partkey""",

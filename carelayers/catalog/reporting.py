@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from carelayers.catalog.registry import STEPS, register, rounded
@@ -119,11 +121,11 @@ def _duplicate_summary(t):
     return duplicate_summary(silver, procedures.CPT_DUPLICATE_KEYS)
 
 
-@register(
-    "duplicate_showcase",
-    """select * from step_cpt_ranked
-       qualify count(*) over (partition by HADM_ID, CPT_CD) > 1""",
-)
+SQL_SHOWCASE = """select * from step_cpt_ranked
+       qualify count(*) over (partition by HADM_ID, CPT_CD) > 1"""
+
+
+@register("duplicate_showcase", SQL_SHOWCASE)
 def duplicate_showcase(t):
     silver = procedures.silver_cptevents(t.cptevents)
     return duplicate_rows(silver, procedures.CPT_DUPLICATE_KEYS, ["ROW_ID"])
@@ -136,8 +138,9 @@ def _ranked_cpt(t):
 
 @register("sql_view", "select HADM_ID, count(*) as n from step_cpt_ranked group by HADM_ID")
 def sql_view(t):
-    as_view(_ranked_cpt(t), "ranked_cpt")
-    return t.spark.sql("select HADM_ID, count(*) as n from ranked_cpt group by HADM_ID")
+    name = f"ranked_cpt_{uuid.uuid4().hex}"
+    as_view(_ranked_cpt(t), name)
+    return t.spark.sql(f"select HADM_ID, count(*) as n from {name} group by HADM_ID")
 
 
 @register(
@@ -146,9 +149,9 @@ def sql_view(t):
        order by HADM_ID, CPT_CD limit 1""",
 )
 def sql_rank_sample(t):
-    as_view(_ranked_cpt(t), "ranked_cpt")
     return t.spark.sql(
-        "select HADM_ID, CPT_CD from ranked_cpt where rank = 2 order by HADM_ID, CPT_CD limit 1"
+        "select HADM_ID, CPT_CD from {ranked} where rank = 2 order by HADM_ID, CPT_CD limit 1",
+        ranked=_ranked_cpt(t),
     )
 
 
@@ -158,11 +161,11 @@ def sql_rank_sample(t):
        from step_cpt_ranked where HADM_ID = 39 and CPT_CD = '9' order by rank""",
 )
 def sql_group_rows(t):
-    as_view(_ranked_cpt(t), "ranked_cpt")
     return t.spark.sql(
         """select rank, HADM_ID, CPT_CD, SECTIONHEADER, SUBSECTIONHEADER, ROW_ID
-           from ranked_cpt where HADM_ID = :admission and CPT_CD = :code order by rank""",
+           from {ranked} where HADM_ID = :admission and CPT_CD = :code order by rank""",
         args={"admission": 39, "code": "9"},
+        ranked=_ranked_cpt(t),
     )
 
 
@@ -182,12 +185,12 @@ def first_non_null(t):
     )
 
 
-@register(
-    "reconcile_counts",
-    """select s.n as silver_rows, g.n as gold_total, s.n - g.n as difference
+SQL_RECONCILE = """select s.n as silver_rows, g.n as gold_total, s.n - g.n as difference
        from (select count(*) as n from silver_prescriptions) s,
-         (select cast(sum(PRESCRIPTION_COUNT) as bigint) as n from gold_prescriptions) g""",
-)
+         (select cast(sum(PRESCRIPTION_COUNT) as bigint) as n from gold_prescriptions) g"""
+
+
+@register("reconcile_counts", SQL_RECONCILE)
 def reconcile_counts(t):
     silver = rx.silver_prescriptions(t.prescriptions)
     return reconcile(silver, rx.gold_prescriptions(silver), "PRESCRIPTION_COUNT")
@@ -249,14 +252,14 @@ def pair_preview(t):
     return head_by(pairs, pairs.columns, ["HADM_ID", "START_1", "ID_1", "ID_2"], 20)
 
 
-@register(
-    "ordered_compare",
-    """select s.HADM_ID, s.n as rows_before, coalesce(g.n, 0) as rows_after,
+SQL_COMPARE = """select s.HADM_ID, s.n as rows_before, coalesce(g.n, 0) as rows_after,
          s.n - coalesce(g.n, 0) as removed
        from (select HADM_ID, count(*) as n from silver_procedureevents_mv group by HADM_ID) s
        left join (select HADM_ID, count(*) as n from gold_procedureevents_mv group by HADM_ID) g
-         on s.HADM_ID = g.HADM_ID""",
-)
+         on s.HADM_ID = g.HADM_ID"""
+
+
+@register("ordered_compare", SQL_COMPARE)
 def ordered_compare(t):
     silver = procedures.silver_procedureevents_mv(t.procedureevents_mv)
     return compare_counts(silver, procedures.gold_procedureevents_mv(silver), "HADM_ID")

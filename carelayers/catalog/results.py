@@ -92,18 +92,25 @@ def gold_outputevents(t):
     return outputs.gold_outputevents(outputs.silver_outputevents(t.outputevents))
 
 
-@register(
-    "join_diagnosis_dictionary",
-    """select f.ICD9_CODE, f.ROW_ID, f.SUBJECT_ID, f.HADM_ID, f.SEQ_NUM, d.SHORT_TITLE,
-         d.LONG_TITLE from in_diagnoses_icd f left join (
-           select * from in_d_icd_diagnoses union all select * from in_d_icd_diagnoses) d
-         on f.ICD9_CODE = d.ICD9_CODE""",
-)
+SQL_DIAGNOSIS_JOIN = """
+    select f.ICD9_CODE, f.ROW_ID, f.SUBJECT_ID, f.HADM_ID, f.SEQ_NUM, d.SHORT_TITLE,
+      d.LONG_TITLE from in_diagnoses_icd f left join (
+        select * from in_d_icd_diagnoses union all select * from in_d_icd_diagnoses) d
+      on f.ICD9_CODE = d.ICD9_CODE"""
+
+
+@register("join_diagnosis_dictionary", SQL_DIAGNOSIS_JOIN)
 def join_diagnosis_dictionary(t):
     repeated = t.d_icd_diagnoses.union(t.d_icd_diagnoses).drop("ROW_ID")
     return enrich(t.diagnoses_icd, repeated, "ICD9_CODE", dedup=False)
 
 
+@register("join_diagnosis_dictionary_shuffled", SQL_DIAGNOSIS_JOIN)
+def join_diagnosis_dictionary_shuffled(t):
+    repeated = t.d_icd_diagnoses.union(t.d_icd_diagnoses).drop("ROW_ID")
+    return enrich(t.diagnoses_icd, repeated, "ICD9_CODE", dedup=False, max_bytes=0)
+
+
 @register("gold_diagnoses_icd", "select * from gold_diagnoses_icd")
 def gold_diagnoses_icd(t):
     return outputs.gold_diagnoses_icd(
@@ -168,12 +175,12 @@ STEPS["step_observations"] = """
 STEPS["step_clinical_observation"] = """
     select * exclude (n) from (
       select *, row_number() over (partition by observation_id order by
-        source_table, source_row_id nulls first, item_type, subject_id nulls first,
-        hadm_id nulls first, icustay_id nulls first, event_time nulls first,
-        store_time nulls first, item_id nulls first, item_label nulls first,
-        normalized_label nulls first, category nulls first, value_text nulls first,
-        value_num nulls first, value_unit nulls first, normalized_unit nulls first,
-        event_flag nulls first) as n
+        source_table, source_row_id nulls last, item_type, subject_id nulls last,
+        hadm_id nulls last, icustay_id nulls last, event_time nulls last,
+        store_time nulls last, item_id nulls last, item_label nulls last,
+        normalized_label nulls last, category nulls last, value_text nulls last,
+        value_num nulls last, value_unit nulls last, normalized_unit nulls last,
+        event_flag nulls last) as n
       from (select *, sha256(concat_ws('||', source_table, source_row_id, subject_id,
           coalesce(hadm_id, 'NO_HADM'), coalesce(item_id, 'NO_ITEM'),
           coalesce(cast(event_time as varchar), 'NO_TIME'))) as observation_id
@@ -186,6 +193,19 @@ def join_chart_dictionary(t):
     return named.drop("normalized_label", "normalized_unit")
 
 
+@register("join_chart_dictionary_shuffled", "select * from step_chart_joined")
+def join_chart_dictionary_shuffled(t):
+    """The same join as for a dictionary too big to broadcast."""
+    named = observations.chart_events_named(t.spread("chartevents"), t.d_items, max_bytes=0)
+    return named.drop("normalized_label", "normalized_unit")
+
+
+@register("join_lab_dictionary_shuffled", "select * from step_lab_joined")
+def join_lab_dictionary_shuffled(t):
+    named = observations.lab_events_named(t.labevents, t.d_labitems, max_bytes=0)
+    return named.drop("normalized_label", "normalized_unit")
+
+
 @register("join_lab_dictionary", "select * from step_lab_joined")
 def join_lab_dictionary(t):
     named = observations.lab_events_named(t.labevents, t.d_labitems)
@@ -326,12 +346,12 @@ def rollup_mv(t):
     return rounded(gold, "AVG_AMOUNT", "AVG_RATE")
 
 
-@register(
-    "gold_unified_inputevents",
-    """select *, cast(null as varchar) as ORDER_CATEGORY from gold_inputevents_cv
+SQL_UNIFIED_INPUTS = """select *, cast(null as varchar) as ORDER_CATEGORY from gold_inputevents_cv
        union all by name
-       select *, cast(null as varchar) as ROUTE_NORMALIZED from gold_inputevents_mv""",
-)
+       select *, cast(null as varchar) as ROUTE_NORMALIZED from gold_inputevents_mv"""
+
+
+@register("gold_unified_inputevents", SQL_UNIFIED_INPUTS)
 def gold_unified_inputevents(t):
     return input_plans.gold_unified_inputevents(_gold_cv(t), _gold_mv(t))
 

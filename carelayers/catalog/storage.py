@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carelayers.catalog.inputs import INPUTS
-from carelayers.catalog.registry import Inputs, register
+from carelayers.catalog.registry import Inputs, register, rounded
+from carelayers.catalog.reporting import SQL_COMPARE, SQL_RECONCILE, SQL_SHOWCASE
+from carelayers.catalog.results import SQL_UNIFIED_INPUTS
 from carelayers.plans import procedures
+from carelayers.plans.checks import write_reports
 from carelayers.plans.runner import run_tables
 from carelayers.sources.layers import (
     layer_counts,
@@ -19,7 +22,7 @@ from carelayers.sources.layers import (
     shared_folder,
     write_layer,
 )
-from carelayers.sources.raw import first_rows, read_raw
+from carelayers.sources.raw import RawFolder, first_rows, read_raw
 
 
 def _as_csv(df, path: str, compression: str):
@@ -141,14 +144,84 @@ _RUN_LAYERS = [
 ]
 
 
-@register(
-    "run_tables",
+RUN_SQL = (
     " union all ".join(
         f"""select '{layer}' as layer, '{name}' as "table", count(*) as rows from {source}"""
         for layer, name, source in _RUN_LAYERS
     )
     + """ union all select 'gold', 'unified_inputevents',
-      (select count(*) from gold_inputevents_cv) + (select count(*) from gold_inputevents_mv)""",
+      (select count(*) from gold_inputevents_cv) + (select count(*) from gold_inputevents_mv)"""
 )
+
+
+@register("run_tables", RUN_SQL)
+@register("run_pipelines", RUN_SQL)
 def _run_tables(t):
     return run_tables(t.spark, _RawInputs(t), shared_folder(t.spark, "tables"))
+
+
+def _written(t: Inputs, *names: str) -> str:
+    """The folder of layers that the runner has written for these results."""
+    root = shared_folder(t.spark, "tables")
+    run_tables(t.spark, _RawInputs(t), root, names)
+    return root
+
+
+@register("run_prescriptions", "select * from gold_prescriptions")
+def run_prescriptions(t):
+    gold = read_layer(t.spark, _written(t, "prescriptions"), "gold", "prescriptions")
+    return rounded(gold, "AVG_DOSE", "AVG_DURATION")
+
+
+@register("run_procedureevents_mv", "select * from gold_procedureevents_mv")
+def run_procedureevents_mv(t):
+    root = _written(t, "procedureevents_mv")
+    return read_layer(t.spark, root, "gold", "procedureevents_mv")
+
+
+@register("run_inputevents", SQL_UNIFIED_INPUTS)
+def run_inputevents(t):
+    root = _written(t, "inputevents_cv", "inputevents_mv", "unified_inputevents")
+    return rounded(read_layer(t.spark, root, "gold", "unified_inputevents"), "AVG_AMOUNT", "AVG_RATE")
+
+
+@register("run_clinical_observation", "select * from step_clinical_observation")
+def run_clinical_observation(t):
+    root = _written(t, "chart_events_named", "lab_events_named", "clinical_observation")
+    return read_layer(t.spark, root, None, "clinical_observation")
+
+
+@register("gzip_chart_events_named", "select * from step_chart_named")
+def gzip_chart_events_named(t):
+    """From one gzip file per table to the written result."""
+    folder, root = shared_folder(t.spark, "csv"), shared_folder(t.spark, "tables")
+    for table in ("chartevents", "d_items"):
+        _as_csv(getattr(t, table).coalesce(1), f"{folder}/{table.upper()}.csv.gz", "gzip")
+    run_tables(t.spark, RawFolder(t.spark, folder), root, ["chart_events_named"])
+    return read_layer(t.spark, root, None, "chart_events_named")
+
+
+def _report(t: Inputs, table: str, name: str):
+    root = _written(t, table)
+    write_reports(t.spark, root, [table])
+    return read_layer(t.spark, root, "report", f"{table}_{name}")
+
+
+@register("report_duplicate_rows", SQL_SHOWCASE)
+def report_duplicate_rows(t):
+    return _report(t, "cptevents", "duplicate_rows")
+
+
+@register("report_duplicate_groups", "select * from step_icd_repeated")
+def report_duplicate_groups(t):
+    return _report(t, "procedures_icd", "duplicate_groups")
+
+
+@register("report_removed", SQL_COMPARE)
+def report_removed(t):
+    return _report(t, "procedureevents_mv", "removed")
+
+
+@register("report_reconcile", SQL_RECONCILE)
+def report_reconcile(t):
+    return _report(t, "prescriptions", "reconcile")

@@ -13,13 +13,21 @@ NO_TIME = "NO_TIME"
 FLAG_SEPARATOR = "|"
 
 
+def utc_text(time: Column) -> Column:
+    """A point in time as ``yyyy-MM-dd HH:mm:ss``, with a fraction if it has one, in UTC."""
+    seconds = F.unix_micros(time.cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return (epoch + since).cast("string")
+
+
 def observation_id(
     source: Column, row: Column, subject: Column, admission: Column, item: Column, time: Column
 ) -> Column:
     """SHA-256 of the parts that identify an observation.
 
     A NULL ``source``, ``row`` or ``subject`` is left out of the text, as ``concat_ws`` does.
-    The time enters in the session time zone.
+    The time enters as its UTC text, whatever the time zone of the session.
     """
     parts = [
         source,
@@ -27,7 +35,7 @@ def observation_id(
         subject,
         F.coalesce(admission, F.lit(NO_ADMISSION)),
         F.coalesce(item, F.lit(NO_ITEM)),
-        F.coalesce(time.cast("string"), F.lit(NO_TIME)),
+        F.coalesce(utc_text(time), F.lit(NO_TIME)),
     ]
     return F.sha2(F.concat_ws(ID_SEPARATOR, *parts), 256)
 

@@ -1,78 +1 @@
-"""Table operators: every one takes DataFrames and returns a DataFrame."""
-
-from carelayers.operators.clean import (
-    drop_columns,
-    drop_sparse_columns,
-    exclude_code,
-    lookup,
-    project,
-    require_keys,
-    require_not_null,
-    sparse_columns,
-    tag,
-    typed_nulls,
-)
-from carelayers.operators.dictionary import enrich, one_per_key
-from carelayers.operators.fuse import fuse
-from carelayers.operators.near_duplicates import near_duplicates
-from carelayers.operators.ranking import (
-    Skew,
-    dedup_by_priority,
-    duplicate_rows,
-    first_within,
-    rank_within,
-)
-from carelayers.operators.repeats import distinct_rows
-from carelayers.operators.reports import (
-    bucket_stats,
-    compare_counts,
-    compare_rows,
-    distinct_count,
-    distinct_values,
-    duplicate_groups,
-    duplicate_summary,
-    exact_duplicate_count,
-    head_by,
-    null_profile,
-    reconcile,
-    top_groups,
-)
-from carelayers.operators.rollup import edge_counts, representative, rollup
-
-__all__ = [
-    "Skew",
-    "bucket_stats",
-    "compare_counts",
-    "compare_rows",
-    "dedup_by_priority",
-    "distinct_count",
-    "distinct_rows",
-    "distinct_values",
-    "drop_columns",
-    "drop_sparse_columns",
-    "duplicate_groups",
-    "duplicate_rows",
-    "duplicate_summary",
-    "edge_counts",
-    "enrich",
-    "exact_duplicate_count",
-    "exclude_code",
-    "first_within",
-    "fuse",
-    "head_by",
-    "lookup",
-    "near_duplicates",
-    "null_profile",
-    "one_per_key",
-    "project",
-    "rank_within",
-    "reconcile",
-    "representative",
-    "require_keys",
-    "require_not_null",
-    "rollup",
-    "sparse_columns",
-    "tag",
-    "top_groups",
-    "typed_nulls",
-]
+"""Table operators: every one takes DataFrames and returns a DataFrame; import them from their modules."""

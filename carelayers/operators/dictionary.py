@@ -9,13 +9,16 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelayers.operators.ranking import DEFAULT_SKEW, Skew, big_groups, first_within
+from carelayers.operators.ranking import first_within
 
 # A dictionary up to this many bytes (as text, before deduplication) may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Counted on top of the text of each row.
 _ROW_OVERHEAD = 64
 
+# A key that more than one in so many facts have is spread over several tasks.
+HOT_SHARE = 1000
+
 _SALT = "__salt"
 
 
@@ -30,28 +33,34 @@ def text_bytes(dim: DataFrame) -> int:
 
 
 def one_per_key(dim: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
-    """One dictionary row per key: the first by ``order``, then by the remaining columns."""
+    """One dictionary row per key: the first by ``order``, then by the remaining columns.
+
+    NULL comes last, so a row with a label is preferred to one without.
+    """
     return first_within(dim, [key], list(order))
 
 
-def _shuffled_left_join(facts: DataFrame, side: DataFrame, key: str, skew: Skew) -> DataFrame:
+def _shuffled_left_join(facts: DataFrame, side: DataFrame, key: str) -> DataFrame:
     """Left join that shuffles both sides, with the big keys of ``facts`` spread over many tasks.
 
-    Facts with a big key, or none, get one of ``skew.slices`` salts; the dictionary rows of a big
-    key are repeated for every salt. The salt depends on the input task and the row, so a task that
-    runs again gives the same one, and copies of one row from different tasks part.
+    Every key that more than one in ``HOT_SHARE`` facts have, as counted, gets one salt for each such
+    share; the dictionary rows of that key are repeated for its salts. There are fewer than
+    ``HOT_SHARE`` such keys at any size. Facts without a key meet nothing and are not shuffled. The
+    salt depends on the input task and the row, so a task that runs again gives the same one.
     """
-    big = [r[0] for r in big_groups(facts.where(F.col(key).isNotNull()), [key], skew)]
-    is_big = F.col(key).isin(big) if big else F.lit(False)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(skew.slices))
-    salted = facts.withColumn(
-        _SALT, F.when(F.col(key).isNull() | is_big, spread).otherwise(F.lit(0)).cast("int")
-    )
-    every = F.sequence(F.lit(0), F.lit(skew.slices - 1))
-    repeated = side.where(F.col(key).isNotNull()).withColumn(
-        _SALT, F.explode(F.when(is_big, every).otherwise(F.array(F.lit(0))))
-    )
-    return salted.join(repeated, [key, _SALT], "left").drop(_SALT)
+    keyed = facts.where(F.col(key).isNotNull())
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = keyed.count()
+    salts = F.ceil(F.col("__n") * HOT_SHARE / F.lit(max(1, total))).cast("int").alias("__salts")
+    hot = F.broadcast(counts.where(F.col("__n") * HOT_SHARE > total).select(key, salts))
+    n = F.coalesce(F.col("__salts"), F.lit(1))
+    own = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), n).cast("int")
+    every = F.explode(F.sequence(F.lit(0), n - 1))
+    salted = keyed.join(hot, key, "left").withColumn(_SALT, own).drop("__salts")
+    repeated = side.where(F.col(key).isNotNull()).join(hot, key, "left")
+    repeated = repeated.withColumn(_SALT, every).drop("__salts")
+    met = salted.join(repeated, [key, _SALT], "left").drop(_SALT)
+    return met.unionByName(facts.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def enrich(
@@ -63,7 +72,6 @@ def enrich(
     dedup: bool = True,
     order: Sequence[str] = (),
     max_bytes: int = BROADCAST_BYTES,
-    skew: Skew = DEFAULT_SKEW,
 ) -> DataFrame:
     """Left join of ``facts`` with ``dim`` on the shared column ``key``, which comes first.
 
@@ -78,4 +86,4 @@ def enrich(
         side = one_per_key(side, key, order)
     if small:
         return facts.join(F.broadcast(side), key, "left")
-    return _shuffled_left_join(facts, side, key, skew)
+    return _shuffled_left_join(facts, side, key)

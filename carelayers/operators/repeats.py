@@ -1,67 +1,13 @@
-"""Duplicate removal that moves only the rows that have a duplicate.
-
-Removing duplicates shuffles every row, though in most tables few rows have one. Over a written
-layer, which is cheap to read again, a first pass counts hashes of the keys: eight bytes per row
-are shuffled instead of the whole row. Rows whose hash occurs once then stay where they are. Equal
-keys have equal hashes, so no duplicate is missed; two different keys with one hash only take the
-long way.
-"""
+"""Removal of exact duplicates."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# More repeated hashes than this are not sent to every task; then all rows are shuffled.
-MAX_REPEATED = 200_000
-
-_HASH = "__hash"
-
 
-def _hashed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumn(_HASH, F.xxhash64(*keys))
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Remove exact duplicate rows.
 
-def repeated_hashes(df: DataFrame, keys: Sequence[str], limit: int = MAX_REPEATED) -> list | None:
-    """Key hashes that occur more than once, or None if there are more than ``limit``."""
-    found = (
-        _hashed(df, keys)
-        .groupBy(_HASH)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > 1)
-        .select(_HASH)
-        .limit(limit + 1)
-        .collect()
-    )
-    return found if len(found) <= limit else None
-
-
-def without_repeats(
-    df: DataFrame,
-    keys: Sequence[str],
-    reduce_rows: Callable[[DataFrame], DataFrame],
-    written: bool,
-    limit: int = MAX_REPEATED,
-) -> DataFrame:
-    """``reduce_rows(df)``, where ``reduce_rows`` keeps every row that is alone with its keys.
-
-    With ``written`` the keys are looked at first (one job, run when called) and only rows that may
-    repeat are reduced.
+    Copies leave a task as one row, so a row that is repeated very often is no hot key.
     """
-    found = repeated_hashes(df, keys, limit) if written else None
-    if found is None:
-        return reduce_rows(df)
-    if not found:
-        return df
-    # At most ``limit`` numbers.
-    hashes = F.broadcast(df.sparkSession.createDataFrame(found, f"{_HASH} bigint"))
-    alone = _hashed(df, keys).join(hashes, _HASH, "left_anti").drop(_HASH)
-    repeated = _hashed(df, keys).join(hashes, _HASH, "left_semi").drop(_HASH)
-    return alone.unionByName(reduce_rows(repeated))
-
-
-def distinct_rows(df: DataFrame, written: bool = False) -> DataFrame:
-    """Remove exact duplicate rows."""
-    return without_repeats(df, df.columns, DataFrame.dropDuplicates, written)
+    return df.dropDuplicates()

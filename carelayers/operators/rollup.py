@@ -21,9 +21,13 @@ def edge_counts(
 
 
 def representative(column: str, order: Sequence[str]) -> Column:
-    """The first non-NULL value by ``order``, then by the value itself; NULL if there is none."""
-    place = F.struct(*[F.col(c) for c in dict.fromkeys([*order, column])])
-    return F.min(F.when(F.col(column).isNotNull(), place)).getField(column)
+    """The first non-NULL value by ``order``, then by the value itself; NULL if there is none.
+
+    NULL in ``order`` comes last: a row without a time is not the earliest.
+    """
+    place = [x for c in dict.fromkeys(order) for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    place += [] if column in order else [F.col(column)]
+    return F.min(F.when(F.col(column).isNotNull(), F.struct(*place))).getField(column)
 
 
 def rollup(

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelayers.operators.clean import lookup
 from carelayers.operators.ranking import duplicate_rows
 from carelayers.operators.reports import (
     bucket_stats,
     compare_counts,
+    compare_rows,
     distinct_values,
     duplicate_groups,
     duplicate_summary,
@@ -20,7 +22,7 @@ from carelayers.operators.reports import (
 )
 from carelayers.plans import procedures
 from carelayers.plans.runner import PLANS
-from carelayers.sources.layers import read_layer
+from carelayers.sources.layers import read_layer, write_layer
 
 Reader = Callable[[str, str], DataFrame]
 
@@ -71,7 +73,7 @@ _EXTRA: dict[str, Callable[[Reader], dict[str, DataFrame]]] = {
     "procedureevents_mv": _procedureevents_mv,
     "d_cpt": lambda read: {"hierarchy": procedures.cpt_hierarchy(read("gold", "d_cpt"))},
     "outputevents": lambda read: {
-        "exact_duplicates": exact_duplicate_count(read("bronze", "outputevents"), written=True)
+        "exact_duplicates": exact_duplicate_count(read("bronze", "outputevents"))
     },
     "inputevents_cv": lambda read: {
         "reconcile": reconcile(
@@ -100,3 +102,22 @@ def table_reports(spark: SparkSession, root: str, name: str) -> dict[str, DataFr
         if not plan.plain
     }
     return {**profiles, **_EXTRA.get(name, lambda _: {})(read)}
+
+
+def write_reports(spark: SparkSession, root: str, tables: Iterable[str]) -> dict[str, int]:
+    """Write the reports of written results as layers ``report_<table>_<report>``; their rows."""
+    return {
+        f"{table}_{name}": write_layer(report, root, "report", f"{table}_{name}")
+        for table in tables
+        for name, report in table_reports(spark, root, table).items()
+    }
+
+
+def admission_reports(spark: SparkSession, root: str, admission: int) -> dict[str, DataFrame]:
+    """One admission in written layers: its procedure rows before and after, and its billing codes."""
+    silver, gold = (read_layer(spark, root, layer, "procedureevents_mv") for layer in ("silver", "gold"))
+    shown = ["ROW_ID", "ITEMID", "STARTTIME", "ENDTIME", "VALUE", "STATUSDESCRIPTION"]
+    return {
+        "procedure_rows": compare_rows(silver, gold, "HADM_ID", admission, shown, ["STARTTIME", "ROW_ID"]),
+        "billing_codes": lookup(read_layer(spark, root, "silver", "cptevents"), HADM_ID=admission),
+    }

@@ -24,15 +24,15 @@ def _normalized(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({new: upper_trim(F.col(old)) for new, old in columns.items()})
 
 
-def silver_inputevents_cv(bronze: DataFrame, written: bool = False) -> DataFrame:
-    events = distinct_rows(require_not_null(bronze, INPUT_KEYS), written)
+def silver_inputevents_cv(bronze: DataFrame) -> DataFrame:
+    events = distinct_rows(require_not_null(bronze, INPUT_KEYS))
     events = events.withColumnsRenamed(CV_TIMES)
     events = typed_nulls(events, END_TIME="timestamp")
     return tag(_normalized(events, {**UNITS, **CV_ROUTE}), SOURCE_SYSTEM=CV_SOURCE)
 
 
-def silver_inputevents_mv(bronze: DataFrame, written: bool = False) -> DataFrame:
-    events = distinct_rows(require_not_null(bronze, INPUT_KEYS), written)
+def silver_inputevents_mv(bronze: DataFrame) -> DataFrame:
+    events = distinct_rows(require_not_null(bronze, INPUT_KEYS))
     events = events.withColumnsRenamed(MV_TIMES)
     return tag(_normalized(events, UNITS), SOURCE_SYSTEM=MV_SOURCE)
 

@@ -13,7 +13,7 @@ from carelayers.functions import (
     safe_double,
 )
 from carelayers.operators.clean import project, tag, typed_nulls
-from carelayers.operators.dictionary import enrich
+from carelayers.operators.dictionary import BROADCAST_BYTES, enrich
 from carelayers.operators.fuse import fuse
 from carelayers.operators.ranking import first_within
 
@@ -101,7 +101,9 @@ OBSERVATION_COLUMNS = [
 ]
 
 
-def chart_events_named(chartevents: DataFrame, d_items: DataFrame) -> DataFrame:
+def chart_events_named(
+    chartevents: DataFrame, d_items: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Charted events with the names of their items; the unit falls back to the dictionary's.
 
     Labels and dictionary units are cleaned once per dictionary row, not once per event.
@@ -120,7 +122,7 @@ def chart_events_named(chartevents: DataFrame, d_items: DataFrame) -> DataFrame:
             "__clean_unit": clean_text(F.col("dictionary_unit")),
         }
     )
-    named = enrich(events, items, "item_id").withColumns(
+    named = enrich(events, items, "item_id", max_bytes=max_bytes).withColumns(
         {
             "value_unit": F.coalesce("value_unit", "dictionary_unit"),
             "normalized_unit": F.coalesce("normalized_unit", "__clean_unit"),
@@ -129,7 +131,9 @@ def chart_events_named(chartevents: DataFrame, d_items: DataFrame) -> DataFrame:
     return named.select(*CHART_NAMED_COLUMNS)
 
 
-def lab_events_named(labevents: DataFrame, d_labitems: DataFrame) -> DataFrame:
+def lab_events_named(
+    labevents: DataFrame, d_labitems: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Laboratory events with the names of their items."""
     events = project(labevents, LAB_EVENT).withColumns(
         {
@@ -141,7 +145,8 @@ def lab_events_named(labevents: DataFrame, d_labitems: DataFrame) -> DataFrame:
     items = project(d_labitems, LAB_ITEM).withColumn(
         "normalized_label", clean_text(F.col("lab_label"))
     )
-    return enrich(events, items, "item_id").select(*LAB_NAMED_COLUMNS)
+    named = enrich(events, items, "item_id", max_bytes=max_bytes)
+    return named.select(*LAB_NAMED_COLUMNS)
 
 
 def microbiology_clean(microbiology: DataFrame) -> DataFrame:
@@ -194,8 +199,6 @@ def observations(charts: DataFrame, labs: DataFrame) -> DataFrame:
     return both.withColumn("observation_id", observation_id(*[F.col(c) for c in identity]))
 
 
-def clinical_observation(
-    charts: DataFrame, labs: DataFrame, written: bool = False
-) -> DataFrame:
+def clinical_observation(charts: DataFrame, labs: DataFrame) -> DataFrame:
     """One row per observation id; of rows that share one, the first by all other columns."""
-    return first_within(observations(charts, labs), ["observation_id"], [], written=written)
+    return first_within(observations(charts, labs), ["observation_id"], [])

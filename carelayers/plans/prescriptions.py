@@ -30,8 +30,8 @@ def medication_code() -> Column:
     return F.coalesce(*[F.col(c).cast("string") for c in CODE_SOURCES])
 
 
-def silver_prescriptions(bronze: DataFrame, written: bool = False) -> DataFrame:
-    rows = distinct_rows(require_not_null(bronze, PRESCRIPTION_KEYS), written)
+def silver_prescriptions(bronze: DataFrame) -> DataFrame:
+    rows = distinct_rows(require_not_null(bronze, PRESCRIPTION_KEYS))
     return rows.withColumns(
         {
             "MEDICATION_NAME": medication_name(),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +25,8 @@ class TablePlan:
 
     ``raw`` tables are written as bronze unless ``plain``; each name in ``silver`` makes a cleaned
     layer from its bronze one; ``gold`` gets the most refined layer of every raw table, in order,
-    then the results named in ``after``. Steps that remove duplicates read written layers, so they
-    may look at them first. With ``drop_sparse`` the cleaning step is told which columns are mostly
-    NULL, as counted while bronze was written.
+    then the results named in ``after``. With ``drop_sparse`` the cleaning step is told which columns
+    are mostly NULL, as counted while bronze was written.
     """
 
     raw: tuple[str, ...]
@@ -52,7 +50,7 @@ PLANS: dict[str, TablePlan] = {
     ),
     "procedureevents_mv": TablePlan(
         ("procedureevents_mv",),
-        partial(procedures.gold_procedureevents_mv, written=True),
+        procedures.gold_procedureevents_mv,
         {"procedureevents_mv": procedures.silver_procedureevents_mv},
         drop_sparse=True,
     ),
@@ -74,12 +72,12 @@ PLANS: dict[str, TablePlan] = {
     "inputevents_cv": TablePlan(
         ("inputevents_cv",),
         inputs.gold_inputevents_cv,
-        {"inputevents_cv": partial(inputs.silver_inputevents_cv, written=True)},
+        {"inputevents_cv": inputs.silver_inputevents_cv},
     ),
     "inputevents_mv": TablePlan(
         ("inputevents_mv",),
         inputs.gold_inputevents_mv,
-        {"inputevents_mv": partial(inputs.silver_inputevents_mv, written=True)},
+        {"inputevents_mv": inputs.silver_inputevents_mv},
     ),
     "unified_inputevents": TablePlan(
         (), inputs.gold_unified_inputevents, after=("inputevents_cv", "inputevents_mv")
@@ -87,7 +85,7 @@ PLANS: dict[str, TablePlan] = {
     "prescriptions": TablePlan(
         ("prescriptions",),
         prescriptions.gold_prescriptions,
-        {"prescriptions": partial(prescriptions.silver_prescriptions, written=True)},
+        {"prescriptions": prescriptions.silver_prescriptions},
     ),
     "chart_events_named": TablePlan(
         ("chartevents", "d_items"), observations.chart_events_named, plain=True
@@ -100,7 +98,7 @@ PLANS: dict[str, TablePlan] = {
     ),
     "clinical_observation": TablePlan(
         (),
-        partial(observations.clinical_observation, written=True),
+        observations.clinical_observation,
         after=("chart_events_named", "lab_events_named"),
         plain=True,
     ),

@@ -60,7 +60,9 @@ PLAIN_CSV = ("outputevents", "diagnoses_icd", "d_icd_diagnoses")
 class RawFolder(Mapping):
     """A folder of CSV tables as ``{table: DataFrame}``, each read when it is asked for.
 
-    ``sample`` above 0 takes that many rows of every table not named in ``whole``.
+    ``sample`` above 0 takes that many rows of every table not named in ``whole``. A gzip file cannot
+    be split, so its rows are spread over ``pieces`` tasks (by default as many as the session runs at
+    once) right after the scan.
     """
 
     def __init__(
@@ -72,9 +74,11 @@ class RawFolder(Mapping):
         infer: bool = False,
         sample: int = 0,
         whole: tuple[str, ...] = (),
+        pieces: int | None = None,
     ):
         self.spark, self.folder, self.plain = spark, folder.rstrip("/"), plain
         self.infer, self.sample, self.whole = infer, sample, whole
+        self.pieces = pieces or spark.sparkContext.defaultParallelism
 
     def path(self, table: str) -> str:
         suffix = ".csv" if table in self.plain else ".csv.gz"
@@ -84,7 +88,8 @@ class RawFolder(Mapping):
         if table not in SCHEMAS:
             raise KeyError(table)
         df = read_raw(self.spark, self.path(table), table=table, infer=self.infer)
-        return df if table in self.whole else first_rows(df, self.sample)
+        df = df if table in self.whole else first_rows(df, self.sample)
+        return df if table in self.plain else df.repartition(self.pieces)
 
     def __iter__(self) -> Iterator[str]:
         return iter(SCHEMAS)

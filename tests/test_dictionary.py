@@ -1,11 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from carelayers.operators import dictionary
 from carelayers.operators.dictionary import enrich, one_per_key, text_bytes
-from carelayers.operators.ranking import Skew
-
-# Every row is looked at and small groups already count as big.
-EAGER = Skew(sample=1.0, min_rows=10, max_groups=3, slices=5)
 
 
 @pytest.fixture(scope="module")
@@ -28,9 +25,9 @@ def facts(spark):
 
 def test_survivor_is_the_first_in_order(dim):
     kept = {r.code: r.label for r in one_per_key(dim, "code").collect()}
-    assert kept == {"1": "a", "2": None, None: "n"}
+    assert kept == {"1": "a", "2": "z", None: "n"}
     kept = {r.code: r.label for r in one_per_key(dim, "code", ["unit"]).collect()}
-    assert kept == {"1": "a", "2": None, None: "n"}
+    assert kept == {"1": "b", "2": None, None: "n"}
 
 
 @pytest.mark.parametrize("limit", [10**6, 0], ids=["broadcast", "shuffled"])
@@ -40,13 +37,14 @@ def test_left_join_keeps_every_fact(spark, facts, dim, limit, plan):
     got = out.collect()
     assert len(got) == 90 and out.columns == ["code", "id", "label", "unit"]
     labels = {(r.code, r.label) for r in got}
-    assert labels == {("1", "a"), ("2", None), ("9", None), (None, None)}
+    assert labels == {("1", "a"), ("2", "z"), ("9", None), (None, None)}
 
 
-def test_no_hint_beyond_the_limit(spark, facts, dim):
+def test_only_counted_big_codes_are_sent_beyond_the_limit(spark, facts, dim):
     hinted = enrich(facts, dim, "code")._jdf.queryExecution().logical().toString()
-    plain = enrich(facts, dim, "code", max_bytes=0)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+    shuffled = enrich(facts, dim, "code", max_bytes=0)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted.lower() and "__salts" not in hinted
+    assert "__salts" in shuffled
 
 
 def test_repeated_codes_fan_out_when_asked(facts, dim):
@@ -59,7 +57,7 @@ def test_big_codes_are_salted_and_nothing_changes(spark, facts, dim, rows, dedup
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        salted = enrich(copies, dim, "code", dedup=dedup, max_bytes=0, skew=EAGER)
+        salted = enrich(copies, dim, "code", dedup=dedup, max_bytes=0)
         assert "SortMergeJoin [code" in salted._jdf.queryExecution().executedPlan().toString()
         got = rows(salted)
     finally:
@@ -67,15 +65,13 @@ def test_big_codes_are_salted_and_nothing_changes(spark, facts, dim, rows, dedup
     assert got == rows(enrich(copies, dim, "code", dedup=dedup))
 
 
-def test_salts_spread_a_big_code(spark, facts, dim):
-    from carelayers.operators.dictionary import _SALT, _shuffled_left_join
-
-    many = spark.range(0, 4000, 1, 8).select("id", F.lit("1").alias("code"))
-    side = one_per_key(dim, "code")
-    joined = _shuffled_left_join(many, side, "code", EAGER)
-    assert joined.count() == 4000 and _SALT not in joined.columns
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "sequence" in plan or "explode" in plan
+def test_salts_follow_the_share_of_a_code(spark, dim, monkeypatch):
+    """More big codes than any fixed number, and pieces no bigger than one share."""
+    monkeypatch.setattr(dictionary, "HOT_SHARE", 50)
+    many = spark.range(0, 4000, 1, 8).selectExpr("id", "if(id % 2 = 0, '1', cast(id % 40 as string)) as code")
+    joined = dictionary._shuffled_left_join(many, one_per_key(dim, "code"), "code")
+    assert joined.count() == 4000 and "__salt" not in joined.columns and "__salts" not in joined.columns
+    assert {r.label for r in joined.where("code = '1'").select("label").distinct().collect()} == {"a"}
 
 
 def test_measured_size_grows_with_the_text(spark, dim):

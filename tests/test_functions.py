@@ -117,3 +117,29 @@ def test_observation_id_parts(spark):
 def test_event_flag(spark):
     df = spark.sql("select '1' as w, cast(null as string) as e")
     assert df.select(event_flag(warning=F.col("w"), error=F.col("e"))).first()[0] == "warning=1|error="
+
+
+def test_observation_id_is_the_same_in_every_session_zone(spark):
+    from carelayers.functions import observation_id
+
+    times = spark.sql(
+        "select timestamp_micros(x) as t from values (0L), (1583046000000000L), (1604196000123000L), (null) as v(x)"
+    )
+    ids, old = [], spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            parts = [F.lit(x) for x in ("chartevents", "1", "2", "3", "4")]
+            ids.append([r[0] for r in times.select(observation_id(*parts, F.col("t"))).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ids[0] == ids[1] == ids[2] and len(set(ids[0])) == 4
+
+
+def test_a_row_without_a_time_is_not_the_earliest(spark):
+    from carelayers.operators.rollup import representative
+
+    rows = [(None, 1, "untimed"), ("2020-01-01", 2, "early"), ("2020-01-02", None, "late"), (None, None, "x")]
+    df = spark.createDataFrame(rows, "t string, id int, v string")
+    assert df.agg(representative("v", ["t", "id"])).first()[0] == "early"
+    assert df.where("t is null").agg(representative("v", ["t", "id"])).first()[0] == "untimed"
