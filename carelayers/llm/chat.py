@@ -40,7 +40,7 @@ def perspectives(
     In a speaker's own text that speaker is ``assistant`` and the others are users with their names;
     ``masks`` are the ``(start, end)`` of the speaker's turns in it, in code points, from the turn's
     text to its end marker. ``system`` turns are the same for all and nobody's perspective; turns
-    without a speaker are an unknown user's. Turns follow their number (NULL first), then speaker and
+    without a speaker are an unknown user's. Turns follow their number (NULL last), then speaker and
     text; repeated rows are turns of their own; NULL text is empty. Turns without a dialogue are one
     dialogue. Dialogues whose turns are all system's, and empty tables, give nothing. Other columns
     are not looked at.

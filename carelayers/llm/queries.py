@@ -133,7 +133,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 OP9_SQL = """
 with ranked as (
     select conv_id, role, coalesce(replace(text, '<|', '<\\|'), '') as body,
-           row_number() over (partition by conv_id order by turn nulls first, role nulls first,
+           row_number() over (partition by conv_id order by turn nulls last, role nulls last,
                               coalesce(text, '')) as place
     from conversations
 ), segmented as (

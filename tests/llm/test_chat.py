@@ -10,7 +10,7 @@ def table(spark, rows):
 def brute(rows, size=64):
     dialogues = defaultdict(list)
     for conv, turn, role, text in rows:
-        key = (turn is not None, turn or 0, role is not None, role or "", text or "")
+        key = (turn is None, turn or 0, role is None, role or "", text or "")
         dialogues[conv].append((key, role, (text or "").replace("<|", "<\\|")))
     out = []
     for conv, turns in dialogues.items():
