@@ -321,6 +321,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the candidate pairs that link by their full sets."""
         pairs = written(pairs, f"{name}-pairs")
+        if pairs.isEmpty():
+            return pairs
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         picked = only(rows, written(ids, f"{name}-ids"))
         sets = written(picked.mapInArrow(_sets, f"id {id_kind}, shingles binary"), f"{name}-sets")
@@ -359,15 +361,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         compare = _compare_blocks(to_arrow_type(docs.schema[id_col].dataType))
         return by_group.mapInArrow(compare, f"a {id_kind}, b {id_kind}, similarity double")
 
-    found = in_split_buckets(joined, "closest")
-    found = found.union(found.select("b", "a", "similarity"))
-    best = found.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("best")).select("a", "best.b")
-    links = links.unionByName(linked(best, "closest"))
-    joined = components(links)
-
+    def grown(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """All links and the components they make, which stay as they are if nothing was found."""
+        if found.isEmpty():
+            return links, joined
+        more = links.unionByName(found)
+        return more, components(more)
+
+    met = in_split_buckets(joined, "closest")
+    met = met.union(met.select("b", "a", "similarity"))
+    best = met.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("best")).select("a", "best.b")
+    links, joined = grown(linked(best, "closest"))
     rest = in_split_buckets(joined, "rest").select("a", "b").distinct()
-    links = links.unionByName(linked(rest, "rest"))
-    joined = components(links)
+    links, joined = grown(linked(rest, "rest"))
 
     label = classes.join(joined.withColumnRenamed("node", "id"), "id", "left")
     label = label.select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
