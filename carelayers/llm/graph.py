@@ -21,8 +21,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node, linked to the smallest of the node and its neighbours."""
     near = _both_ways(links)
     least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    linked = near.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
-    return linked.distinct()
+    return near.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
