@@ -41,6 +41,7 @@ _DICTIONARY_FRAME = 0x184D2A5D
 _VERSION = b"WARC/1.1\r\n"
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _PAGE = "urn:page:"
+_CHUNK = 1 << 16
 #: Records are dated by the caller; a fixed date keeps archives the same from run to run.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -82,25 +83,39 @@ def _head(stream: BinaryIO) -> list[bytes]:
     return lines
 
 
+def _frames(raw: BinaryIO) -> Iterator[bytes]:
+    """What each frame of an archive holds, without the dictionary's; ValueError if one is cut short."""
+    held = raw.read(8)
+    options = {}
+    if len(held) == 8 and struct.unpack("<I", held[:4])[0] == _DICTIONARY_FRAME:
+        options["dict_data"] = zstandard.ZstdCompressionDict(raw.read(struct.unpack("<I", held[4:])[0]))
+        held = b""
+    reader = zstandard.ZstdDecompressor(**options)
+    while held := held or raw.read(_CHUNK):
+        frame = reader.decompressobj()
+        out = [frame.decompress(held)]
+        while not frame.eof:
+            held = raw.read(_CHUNK)
+            if not held:
+                raise ValueError("an archive is cut short")
+            out.append(frame.decompress(held))
+        held = frame.unused_data
+        yield b"".join(out)
+
+
 def read_records(raw: BinaryIO) -> Iterator[dict]:
     """The records of one archive, one at a time: page id, type, length, digest, refers-to, payload.
 
     Raises ValueError if a record is cut short or its payload does not have its digest.
     """
-    start = raw.read(8)
-    options = {}
-    if len(start) == 8 and struct.unpack("<I", start[:4])[0] == _DICTIONARY_FRAME:
-        options["dict_data"] = zstandard.ZstdCompressionDict(raw.read(struct.unpack("<I", start[4:])[0]))
-        start = b""
-    frames = zstandard.ZstdDecompressor(**options).stream_reader(_Chained(start, raw), read_across_frames=True)
-    stream = io.BufferedReader(frames, 1 << 16)
-    while version := stream.readline():
-        if version != _VERSION:
+    for frame in _frames(raw):
+        stream = io.BytesIO(frame)
+        if (version := stream.readline()) != _VERSION:
             raise ValueError(f"not a record: {version[:40]!r}")
         fields = _fields(_head(stream))
         size = int(fields["content-length"])
         block = stream.read(size)
-        if len(block) < size or stream.read(4) != b"\r\n\r\n":
+        if len(block) < size or stream.read() != b"\r\n\r\n":
             raise ValueError("a record is cut short")
         head, _, payload = block.partition(b"\r\n\r\n")
         digest = fields["warc-payload-digest"].removeprefix("sha256:")
@@ -121,19 +136,6 @@ def read_records(raw: BinaryIO) -> Iterator[dict]:
         }
 
 
-class _Chained:
-    """A stream that begins with bytes already taken from it."""
-
-    def __init__(self, first: bytes, rest: BinaryIO):
-        self.first, self.rest = first, rest
-
-    def read(self, size: int = -1) -> bytes:
-        if self.first:
-            first, self.first = self.first, b""
-            return first
-        return self.rest.read(size)
-
-
 def train_dictionary(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> bytes:
     """A dictionary learned from the records with the smallest hash of their id; empty if too few.
 
@@ -266,26 +268,30 @@ def read_archives(index: DataFrame) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of all records.
 
     Each archive that the index names is read once, whole, record by record. Digests are taken from
-    the payload that was read; a revisit's are those of its head, as it holds no payload.
+    the payload that was read; a revisit's are those of its head, as it holds no payload. An archive
+    that is damaged or lacks records of the index fails the read.
     """
     names = [f.split()[0] for f in _READ.split(", ")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for uri in batch.column(0).to_pylist():
+            for uri, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 filesystem, path = pafs.FileSystem.from_uri(uri)
                 with filesystem.open_input_stream(path, compression=None) as raw:
-                    held = []
+                    held, n = [], 0
                     for row in read_records(raw):
-                        held.append([row[n] for n in names])
+                        held.append([row[c] for c in names])
+                        n += 1
                         if len(held) == 4096:
                             yield _rows(held, names, types)
                             held = []
+                    if n != expected:
+                        raise ValueError(f"{uri} holds {n} records, the index {expected}")
                     if held:
                         yield _rows(held, names, types)
 
-    return index.groupBy("uri").agg(F.count(F.lit(1))).select("uri").mapInArrow(run, _READ)
+    return index.groupBy("uri").agg(F.count(F.lit(1)).alias("records")).mapInArrow(run, _READ)
 
 
 def _rows(held: list[list], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:

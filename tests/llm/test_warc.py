@@ -2,6 +2,7 @@ import hashlib
 import io
 import os
 
+import pytest
 import zstandard
 
 from carelayers.llm import warc
@@ -84,11 +85,15 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_damage_is_seen(spark, tmp_path):
-    import pytest
-
-    index, _ = round_trip(spark, [(1, "u", "abc" * 100), (2, "u", "xyz" * 100)], tmp_path / "a")
-    uri = index.first().uri
-    with open(uri, "rb") as file:
+    rows = [(i, "u", f"{i} abc " * 100) for i in range(30)]
+    index, _ = round_trip(spark, rows, tmp_path / "a")
+    row = index.orderBy("uri", "offset").collect()[-1]
+    with open(row.uri, "rb") as file:
         whole = file.read()
-    with pytest.raises((ValueError, zstandard.ZstdError)):
-        list(warc.read_records(io.BytesIO(whole[:-5])))
+    for cut in (5, len(whole) - row.offset - 3):
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(warc.read_records(io.BytesIO(whole[:-cut])))
+    with open(row.uri, "wb") as file:  # the last record is gone as a whole
+        file.write(whole[: row.offset])
+    with pytest.raises(Exception, match="records, the index"):
+        warc.read_archives(index).collect()
