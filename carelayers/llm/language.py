@@ -28,6 +28,8 @@ MAX_GRAMS = 100_000
 #: Languages, the most frequent first; bounds the model however many labels there are.
 MAX_LANGUAGES = 64
 UNDETERMINED = "und"
+#: Parts of a language that are looked through side by side for the documents to learn from.
+PARTS = 64
 
 _STEP = 1 << 20
 _START = b"\n" * ORDER
@@ -196,10 +198,12 @@ def train(
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("id is not null and lang is not null and length(text) > 0")
-    hashed = F.xxhash64("id")
-    first = Window.partitionBy("lang").orderBy(hashed, "id")
-    chosen = rows.select("id", "lang").withColumn("place", F.row_number().over(first))
-    chosen = chosen.where(F.col("place") <= max_docs)
+    # The first of each part of a language, then of the language, so no task sees all its rows.
+    chosen = rows.select("id", "lang", F.xxhash64("id").alias("hash"))
+    chosen = chosen.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("hash", "id")
+        chosen = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= max_docs)
     common = chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
     # At most max_docs * max_languages ids.
     chosen = chosen.join(F.broadcast(common.select("lang")), "lang", "left_semi").select("id", "lang")
