@@ -47,7 +47,7 @@ def test_registers_merge_and_estimate():
 def test_registers_do_not_depend_on_the_limit():
     """A set in a batch with others, and one whose first limit leaves registers empty."""
     random = np.random.default_rng(4)
-    sets = [np.sort(random.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 5, 300, 1) for _ in range(40)]
+    sets = [np.sort(random.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 5, 300, 1) for _ in range(8)]
     together = neardup.sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
     for i, s in enumerate(sets):
         assert np.array_equal(together[i], neardup.sketches(s, np.array([0, len(s)]))[0])
@@ -58,8 +58,6 @@ def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     want = near_duplicates([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
     assert result(docs) == want
-    kept = {r.doc_id for r in neardup.first_of_each(docs).collect()}
-    assert kept == {k for k, (_, c) in want.items() if k == c}
 
 
 def test_groups_chains_and_borders(spark):
