@@ -58,6 +58,42 @@ def test_long_dialogues_are_cut(spark):
     assert result(table(spark, rows), segment_turns=7) == brute(rows, 7)
 
 
+def whole_brute(rows, size=64):
+    """Every segment by every speaker of the whole dialogue, after the system turns that open it."""
+    dialogues = defaultdict(list)
+    for conv, turn, role, text in rows:
+        dialogues[conv].append(((turn is None, turn or 0, role is None, role or "", text or ""), role, text or ""))
+    out = []
+    for conv, turns in dialogues.items():
+        turns.sort(key=lambda t: t[0])
+        opened = next((i for i, t in enumerate(turns) if t[1] != "system"), len(turns))
+        for n in range(0, len(turns), size):
+            own = turns[n : n + size]
+            for side in {t[1] for t in turns} - {None, "system"}:
+                whole, masks = "", []
+                for _, role, text in turns[: min(n, opened)] + own:
+                    name = "system" if role == "system" else "assistant" if role == side else f"user name={role or 'unknown'}"
+                    whole += f"<|im_start|>{name}\n"
+                    if role == side:
+                        masks.append((len(whole), len(whole) + len(text) + 10))
+                    whole += f"{text}<|im_end|>\n"
+                out.append((conv, n // size, side, len(own), whole, tuple(masks)))
+    return sorted(map(str, out))
+
+
+def test_every_segment_for_every_speaker(spark):
+    # One speaks in the first turns only, a segment has no named speaker, one only system's turns.
+    rows = [(1, 0, "system", "rules"), (1, 1, "system", "more")] + [(1, i, "cy", f"c{i}") for i in range(2, 11)]
+    rows += [(1, i, "ann" if i % 2 else "bob", f"t{i}") for i in range(11, 128)]
+    rows += [(1, i, None if i < 192 else "system", f"u{i}") for i in range(128, 256)]
+    # System turns open over more than a segment; no number, no dialogue; nobody named.
+    rows += [(2, i, "system", f"s{i}") for i in range(150)] + [(2, 150, "ann", "hi"), (2, None, "bob", "end")]
+    rows += [(None, i, "system" if i < 3 else "dan" if i < 9 else None, f"n{i}") for i in range(140)]
+    rows += [(3, i, None, "x") for i in range(70)] + [(4, 0, "ann", "short")]
+    assert result(table(spark, rows)) == whole_brute(rows)
+    assert result(table(spark, rows), segment_turns=7) == whole_brute(rows, 7)
+
+
 def test_only_built_in_functions(spark, plan):
     text = plan(chat.perspectives(table(spark, [(1, 0, "a", "x")])))
     assert not any(x in text for x in ("EvalPython", "InPandas", "InArrow", "Cartesian"))
