@@ -14,24 +14,30 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelayers.llm.batches import steps, texts
+from carelayers.sources.layers import shared_folder
 
 #: Longest context in bytes; a context and its byte fit 32 bits.
 ORDER = 3
 #: Bounds of what is learned from: documents per language, and grams kept per language.
 MAX_DOCS = 1000
 MAX_GRAMS = 100_000
-#: Languages, the most frequent first; bounds the model however many labels there are.
-MAX_LANGUAGES = 64
+#: Languages whose trees are one broadcast; more are scored in blocks of so many, one after another.
+LANGUAGES_AT_ONCE = 16
+#: Up to so many ids of documents to learn from are broadcast.
+BROADCAST_IDS = 500_000
 UNDETERMINED = "und"
 #: Parts of a language that are looked through side by side for the documents to learn from.
 PARTS = 64
 
 _STEP = 1 << 20
+# Bytes of a task's rows that meet a block of languages at once.
+_GATHERED_BYTES = 64 << 20
 _START = b"\n" * ORDER
 
 
@@ -147,12 +153,56 @@ class Model:
 
     def predict(self, docs: list[bytes]) -> tuple[list[str], np.ndarray]:
         """Language and its share of the probability; of equally good ones the first by name."""
-        if not self.languages:
-            return [UNDETERMINED] * len(docs), np.zeros(len(docs))
-        bits = self.code_lengths(docs)
-        best = bits.argmin(axis=1)
-        ahead = bits - bits.min(axis=1, keepdims=True)
-        return [self.languages[i] for i in best], 1.0 / np.exp2(-ahead).sum(axis=1)
+        return shortest([self], [docs])[0]
+
+
+@dataclass
+class Blocks:
+    """Models of more languages than fit one broadcast, in the order of their names."""
+
+    languages: list[str]
+    parts: list[Broadcast]
+
+
+def shortest(models: Iterable[Model], pieces: list[list[bytes]]) -> list[tuple[list[str], np.ndarray]]:
+    """For each piece, language and share of the probability of its texts over all models.
+
+    Each model is used for all pieces and then let go; of equally good languages the first wins.
+    """
+    names = [np.full(len(p), UNDETERMINED, dtype=object) for p in pieces]
+    least = [np.full(len(p), np.inf) for p in pieces]
+    mass = [np.zeros(len(p)) for p in pieces]
+    for model in models:
+        for i, docs in enumerate(pieces):
+            if not docs or not model.languages:
+                continue
+            bits = model.code_lengths(docs)
+            low = bits.min(axis=1)
+            better = low < least[i]
+            names[i][better] = np.array(model.languages, dtype=object)[bits.argmin(axis=1)[better]]
+            now = np.minimum(least[i], low)
+            mass[i] = mass[i] * np.exp2(now - least[i]) + np.exp2(now[:, None] - bits).sum(axis=1)
+            least[i] = now
+        del model
+    return [(n.tolist(), np.divide(1.0, m, out=np.zeros(len(m)), where=m > 0)) for n, m in zip(names, mass)]
+
+
+def _unkept(part: Broadcast) -> Model:
+    """The model of a block; ``value`` would keep every block in the worker's memory."""
+    path = getattr(part, "_path", None)
+    return part.load_from_path(path) if path else part.value
+
+
+def _gathered(parts: Iterable[pa.RecordBatch], max_bytes: int) -> Iterator[list[pa.RecordBatch]]:
+    group, held = [], 0
+    for part in parts:
+        group.append(part)
+        held += part.nbytes
+        if held >= max_bytes:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 def model_of(counts: pd.DataFrame) -> Model:
@@ -187,14 +237,17 @@ def train(
     lang_col: str = "lang",
     max_docs: int = MAX_DOCS,
     max_grams: int = MAX_GRAMS,
-    max_languages: int = MAX_LANGUAGES,
-) -> Model:
+    max_languages: int | None = None,
+) -> Model | Blocks:
     """Learn one tree per language from at most ``max_docs`` whole texts each.
 
     Takes the rows with the smallest hash of their id, so the choice does not depend on order; rows
-    without text, language or id teach nothing. At most ``max_grams`` grams of a language (the most
-    frequent, then the smallest) and ``max_languages`` languages reach the driver.
+    without text, language or id teach nothing. All languages get a tree, unless ``max_languages``
+    asks for those with the most rows only. At most ``max_grams`` grams of a language (the most
+    frequent, then the smallest) and ``LANGUAGES_AT_ONCE`` languages at a time reach the driver.
     """
+    spark = labelled.sparkSession
+    folder = shared_folder(spark, "language")
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("id is not null and lang is not null and length(text) > 0")
@@ -204,10 +257,14 @@ def train(
     for keys in (["lang", "part"], ["lang"]):
         first = Window.partitionBy(*keys).orderBy("hash", "id")
         chosen = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= max_docs)
-    common = chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    # At most max_docs * max_languages ids.
-    chosen = chosen.join(F.broadcast(common.select("lang")), "lang", "left_semi").select("id", "lang")
-    sample = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("lang", "text")
+    if max_languages is not None:
+        common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+        chosen = chosen.join(F.broadcast(common.select("lang")), "lang", "left_semi")
+    chosen.select("id", "lang").write.parquet(f"{folder}/chosen")
+    chosen = spark.read.parquet(f"{folder}/chosen")
+    learned = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
+    few = sum(learned.values()) <= BROADCAST_IDS
+    sample = rows.join(F.broadcast(chosen) if few else chosen, ["id", "lang"], "left_semi").select("lang", "text")
     counts = (
         sample.mapInArrow(_count_grams, "lang string, code bigint, n bigint")
         .groupBy("lang", "code")
@@ -215,11 +272,21 @@ def train(
     )
     frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     kept = counts.withColumn("place", F.row_number().over(frequent)).where(F.col("place") <= max_grams)
-    return model_of(kept.drop("place").toPandas())
+    kept = kept.drop("place")
+    languages = sorted(learned)
+    if len(languages) <= LANGUAGES_AT_ONCE:
+        return model_of(kept.toPandas())
+    blocks = spark.createDataFrame([(x, i // LANGUAGES_AT_ONCE) for i, x in enumerate(languages)], "lang string, block int")
+    kept.join(F.broadcast(blocks), "lang").write.partitionBy("block").parquet(f"{folder}/grams")
+    grams, parts = spark.read.parquet(f"{folder}/grams"), []
+    for i in range(-(-len(languages) // LANGUAGES_AT_ONCE)):
+        own = grams.where(F.col("block") == i).drop("block").toPandas()
+        parts.append(spark.sparkContext.broadcast(model_of(own)))
+    return Blocks(languages, parts)
 
 
 def identify(
-    docs: DataFrame, model: Model, text_col: str = "text", into: tuple[str, str] = ("lang_pred", "score")
+    docs: DataFrame, model: Model | Blocks, text_col: str = "text", into: tuple[str, str] = ("lang_pred", "score")
 ) -> DataFrame:
     """Every row of ``docs`` with language and score as columns ``into``, which replace such columns.
 
@@ -231,21 +298,25 @@ def identify(
     text_at = whole.columns.index(text_col)
     answer = [T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())]
     schema = T.StructType([*whole.schema.fields, *answer])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.parts if isinstance(model, Blocks) else [docs.sparkSession.sparkContext.broadcast(model)]
+    many = len(shared) > 1
     lettered = whole.select("*", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
-            has = np.array(part.column(part.num_columns - 1).to_pylist(), dtype=bool)
-            langs = np.full(part.num_rows, UNDETERMINED, dtype=object)
-            scores = np.zeros(part.num_rows)
-            if has.any():
-                some = part.column(text_at).filter(pa.array(has))
-                found, sure = shared.value.predict([t.encode() for t in some.to_pylist()])
+        for group in _gathered(steps(batches), _GATHERED_BYTES if many else 0):
+            having = [np.array(part.column(part.num_columns - 1).to_pylist(), dtype=bool) for part in group]
+            pieces = [
+                [t.encode() for t in part.column(text_at).filter(pa.array(has)).to_pylist()]
+                for part, has in zip(group, having)
+            ]
+            models = (_unkept(b) if many else b.value for b in shared)
+            for part, has, (found, sure) in zip(group, having, shortest(models, pieces)):
+                langs = np.full(part.num_rows, UNDETERMINED, dtype=object)
+                scores = np.zeros(part.num_rows)
                 langs[has], scores[has] = found, sure
-            arrays = [part.column(i) for i in range(part.num_columns - 1)]
-            names = [*part.schema.names[:-1], *into]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(langs, pa.string()), pa.array(scores)], names=names)
+                arrays = [part.column(i) for i in range(part.num_columns - 1)]
+                names = [*part.schema.names[:-1], *into]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(langs, pa.string()), pa.array(scores)], names=names)
 
     return lettered.mapInArrow(run, schema)
 

@@ -107,3 +107,33 @@ def test_bounds_hold(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language.train(docs, max_docs=2, max_grams=500, max_languages=3)
     assert len(model.languages) == 3 and all(len(t.orders[3].grams) <= 500 for t in model.trees)
+
+
+def test_every_label_gets_a_tree(spark, monkeypatch):
+    """More labels than fit one block, all predicted; blocks give what one model of all gives."""
+    random = np.random.default_rng(3)
+    words = [["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for _ in range(70)]
+    rows = [(100 * i + j, " ".join(random.permutation(w)), f"l{i:02}", None) for i, w in enumerate(words) for j in range(3)]
+    # Equal texts under a label of another block: the first by name wins.
+    rows += [(9000 + j, rows[j][1], "zz", None) for j in range(3)]
+    docs = document_table(spark, rows)
+    model = language.train(docs)
+    assert isinstance(model, language.Blocks) and len(model.parts) == 5
+    assert model.languages == [f"l{i:02}" for i in range(70)] + ["zz"]
+
+    def found(model):
+        return {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+
+    got = found(model)
+    assert {k: v[0] for k, v in got.items()} == {r[0]: "l00" if r[2] == "zz" else r[2] for r in rows}
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 1000)
+    one = language.train(docs)
+    assert isinstance(one, language.Model)
+    want = found(one)
+    assert {k: v[0] for k, v in want.items()} == {k: v[0] for k, v in got.items()}
+    assert np.allclose([want[k][1] for k in sorted(want)], [got[k][1] for k in sorted(want)])
+
+
+def test_a_bound_on_labels_counts_all_rows(spark):
+    rows = [(i, "some words", "a" if i == 0 else "z", None) for i in range(4)]
+    assert language.train(document_table(spark, rows), max_docs=1, max_languages=1).languages == ["z"]
