@@ -30,10 +30,15 @@ _ASSIGN_LENGTH = 12
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# Lines may also be broken by escapes, as in JSON: a backslash, or several, and the letter.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]++|\\++[nr])++)-----END \1-----")
+_BREAKS = re.compile(r"\s+|\\+[nr]")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 # Encoded keys begin with a DER sequence (byte 30) or the name of the OpenSSH format.
-_KEY64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/_-]{22,}={0,2}")
+_KEY64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nr]))(?:M[A-P]|b3Bl)[A-Za-z0-9+/_-]*+={0,2}")
+_KEY64_LENGTH = 24
+_NEXT64 = re.compile(r"(?:[ \t]*+(?:[\r\n]|\\++[nr]))++[ \t]*+([A-Za-z0-9+/_-]++)")
+_PAD64 = re.compile(r"={0,2}")
 _KEYHEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6f70656e7373682d6b6579|6F70656E7373682D6B6579)[0-9A-Fa-f]{46,}")
 _SSH_NAME = b"openssh-key-v1\0"
 
@@ -139,6 +144,76 @@ def _is_key(data: bytes | None) -> bool:
     return data is not None and (is_der_key(data) or is_ssh_key(data))
 
 
+def _wanted(data: bytes) -> int | None:
+    """Bytes of the key that begins with ``data``, or that are needed to know; None if none begins."""
+    if data[0] == 0x30:
+        if len(data) < 6:
+            return 6
+        width = data[1] & 0x7F if data[1] >= 0x80 else 0
+        if data[1] >= 0x80 and not 1 <= width <= 4:
+            return None
+        return 2 + width + int.from_bytes(data[2 : 2 + width], "big") if width else 2 + data[1]
+    if data[: len(_SSH_NAME)] != _SSH_NAME[: len(data)]:
+        return None
+    at, fields = len(_SSH_NAME), 3
+    for part in range(2):  # cipher, derivation and options, then the keys and the private part
+        for _ in range(fields):
+            if at + 4 > len(data):
+                return at + 4
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        if part == 0:
+            if at + 4 > len(data):
+                return at + 4
+            fields, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
+            if not 2 <= fields <= 65:
+                return None
+    return at
+
+
+def _wrapped_end(text: str, first: re.Match[str]) -> int | None:
+    """Where the key ends whose first line is ``first`` and whose further lines follow, else None.
+
+    Takes as many lines as the lengths in the key ask for; the last must end where the key does.
+    """
+    body, at = first[0], first.end()
+    if body[-1] == "=":
+        return None
+    while True:
+        known = _decode64(body[:-1] if len(body) % 4 == 1 else body)
+        wanted = 1 if not known else _wanted(known)
+        if wanted is None:
+            return None
+        chars = -(-wanted * 4 // 3)
+        if known and len(body) >= chars:
+            break
+        lines, held = [body], len(body)
+        chars = max(chars, 4)
+        while held < chars:
+            line = _NEXT64.match(text, at)
+            if line is None:
+                return None
+            lines.append(line[1])
+            held, at = held + len(line[1]), line.end()
+        body = "".join(lines)
+    if len(body) != chars or len(body) < _KEY64_LENGTH or not _is_key(_decode64(body)):
+        return None
+    return _PAD64.match(text, at).end()
+
+
+def _keys64(text: str, armoured: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Keys in base64, on one line or, outside of ``armoured`` spans, on several."""
+    past = 0
+    for m in _KEY64.finditer(text):
+        start, end = m.span()
+        if start < past:
+            continue
+        if end - start >= _KEY64_LENGTH and _is_key(_decode64(m[0])):
+            yield "key64", start, end
+        elif not any(a <= start < b for a, b in armoured) and (last := _wrapped_end(text, m)) is not None:
+            yield "key64", start, last
+            past = last
+
+
 def is_signed_token(token: str) -> bool:
     """Whether header and claims are JSON objects and the header names an algorithm."""
     header, claims, _ = token.split(".")
@@ -158,10 +233,10 @@ def find(text: str) -> list[tuple[str, int, int]]:
     spans += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
     for m in _PEM.finditer(text):
-        if _is_key(_decode64("".join(m[2].split()))):
+        if _is_key(_decode64(_BREAKS.sub("", m[2]))):
             spans.append(("pem", *m.span()))
     spans += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
-    spans += [("key64", *m.span()) for m in _KEY64.finditer(text) if _is_key(_decode64(m[0]))]
+    spans += _keys64(text, [(a, b) for k, a, b in spans if k == "pem"])
     for m in _KEYHEX.finditer(text):
         if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0])):
             spans.append(("keyhex", *m.span()))
