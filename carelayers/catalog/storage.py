@@ -193,10 +193,10 @@ def run_clinical_observation(t):
 
 @register("gzip_chart_events_named", "select * from step_chart_named")
 def gzip_chart_events_named(t):
-    """From one gzip file per table to the written result."""
+    """From a folder of gzip files per table, one for each task, to the written result."""
     folder, root = shared_folder(t.spark, "csv"), shared_folder(t.spark, "tables")
     for table in ("chartevents", "d_items"):
-        _as_csv(getattr(t, table).coalesce(1), f"{folder}/{table.upper()}.csv.gz", "gzip")
+        _as_csv(getattr(t, table), f"{folder}/{table.upper()}.csv.gz", "gzip")
     run_tables(t.spark, RawFolder(t.spark, folder), root, ["chart_events_named"])
     return read_layer(t.spark, root, None, "chart_events_named")
 

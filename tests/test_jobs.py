@@ -54,3 +54,21 @@ def test_plain_tables_are_named_by_the_caller(spark, inputs):
     _as_csv(inputs.procedures_icd, f"{folder}/PROCEDURES_ICD.csv", "none")
     raw = RawFolder(spark, folder, plain=("procedures_icd",))
     assert raw["procedures_icd"].count() == inputs.procedures_icd.count()
+
+
+def test_gzip_tables_are_written_by_many_tasks(spark, inputs, monkeypatch):
+    from types import SimpleNamespace
+
+    from carelayers.catalog import storage
+
+    written = []
+
+    def kept(df, path, compression):
+        written.append(path)
+        return _as_csv(df, path, compression)
+
+    monkeypatch.setattr(storage, "_as_csv", kept)
+    tables = {name: getattr(inputs, name).repartition(4) for name in ("chartevents", "d_items")}
+    out = storage.gzip_chart_events_named(SimpleNamespace(spark=spark, **tables))
+    assert out.count() == inputs.chartevents.count()
+    assert all(len([f for f in os.listdir(path) if f.endswith(".gz")]) == 4 for path in written) and len(written) == 2
