@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, chat, embeddings, language, lines, neardup, packing, secrets, topk, warc
+from carelayers.llm import bpe, chat, embeddings, language, lines, merkle, neardup, packing, secrets, topk, warc
 from carelayers.llm.tokens import default_tokenizer
+from carelayers.sources.layers import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,3 +185,78 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secrets.written(of(*secrets.PATTERN_KINDS)), 256).alias("base_sha256"),
         secrets.written(spans).alias("spans"),
     )
+
+
+OP12_SQL = """
+with recursive texts as (
+    select doc_id, lang, text, row_number() over () as row_id,
+           case when doc_id is null then false else xor(4294967295, list_reduce(
+               list_prepend(cast(4294967295 as ubigint), list_transform(
+                   range(cast(length(cast(doc_id as varchar)) as bigint)),
+                   lambda i: cast(ascii(cast(doc_id as varchar)[i + 1]) as ubigint))),
+               lambda crc, byte: list_reduce(
+                   list_prepend(xor(crc, byte), cast([0, 0, 0, 0, 0, 0, 0, 0] as ubigint[])),
+                   lambda x, unused: case when x & 1 = 1 then xor(x >> 1, cast(3988292384 as ubigint)) else x >> 1 end)
+           )) % 3 = 0 end as tampered,
+           coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-') as head
+    from documents
+), leaves as (
+    select row_id, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+           sha256(head || coalesce(strlen(text) || ':' || case when tampered then
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end, '-')) as shown
+    from texts
+), placed as (
+    select *, row_number() over (partition by lang order by doc_id nulls last, leaf, shown) - 1 as place,
+           count(*) over (partition by lang) as n
+    from leaves
+), nodes as (
+    select lang, 0 as height, place, leaf as digest, n from placed
+    union all
+    select lang, height + 1, place // 8, sha256(string_agg(digest, '' order by place)),
+           cast(ceil(n / 8.0) as bigint)
+    from nodes where n > 1 group by lang, height, n, place // 8
+), subroots as (
+    select lang, digest, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as n
+    from nodes where n = 1
+), tops as (
+    select 0 as height, place, digest, n from subroots
+    union all
+    select height + 1, place // 8, sha256(string_agg(digest, '' order by place)), cast(ceil(n / 8.0) as bigint)
+    from tops where n > 1 group by height, n, place // 8
+), paths as (
+    select p.row_id, s.height, coalesce(string_agg(s.digest, '' order by s.place) filter (s.place < o.place), '') as lefts,
+           coalesce(string_agg(s.digest, '' order by s.place) filter (s.place > o.place), '') as rights
+    from placed p join nodes o on p.lang is not distinct from o.lang and o.place = p.place // cast(8 ** o.height as bigint)
+    join nodes s on s.lang is not distinct from o.lang and s.height = o.height and s.place // 8 = o.place // 8
+    where o.n > 1 group by p.row_id, s.height
+    union all
+    select p.row_id, 100 + s.height, coalesce(string_agg(s.digest, '' order by s.place) filter (s.place < o.place), ''),
+           coalesce(string_agg(s.digest, '' order by s.place) filter (s.place > o.place), '')
+    from placed p join subroots r on p.lang is not distinct from r.lang
+    join tops o on o.place = r.place // cast(8 ** o.height as bigint)
+    join tops s on s.height = o.height and s.place // 8 = o.place // 8
+    where o.n > 1 group by p.row_id, s.height
+), steps as (
+    select *, row_number() over (partition by row_id order by height) as step from paths
+), folded as (
+    select row_id, cast(0 as bigint) as step, shown as digest from placed
+    union all
+    select f.row_id, s.step, sha256(s.lefts || f.digest || s.rights)
+    from folded f join steps s on s.row_id = f.row_id and s.step = f.step + 1
+), ends as (
+    select row_id, max_by(digest, step) as digest from folded group by row_id
+), siblings as (
+    select row_id, string_agg(lefts || rights, '' order by step) as digests from steps group by row_id
+)
+select p.doc_id, p.leaf, r.digest as subroot, t.digest as root, sha256(coalesce(b.digests, '')) as proof_sha256,
+       e.digest as folded_root, e.digest = t.digest as verified
+from placed p join subroots r on p.lang is not distinct from r.lang join ends e using (row_id)
+left join siblings b using (row_id) cross join (select digest from tops where n = 1) t
+"""
+
+
+@_register("op12_merkle", OP12_SQL)
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified_documents(_table(spark, folder, "documents"), shared_folder(spark, "merkle"))
