@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm import bpe, chat, embeddings, language, lines, merkle, neardup, packing, secrets, topk, warc
+from carelayers.llm import bpe, chat, decontaminate, embeddings, language, lines, merkle, neardup, packing
+from carelayers.llm import secrets, topk, warc
 from carelayers.llm.tokens import default_tokenizer
 from carelayers.sources.layers import shared_folder
 
@@ -260,3 +261,54 @@ left join siblings b using (row_id) cross join (select digest from tops where n
 @_register("op12_merkle", OP12_SQL)
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified_documents(_table(spark, folder, "documents"), shared_folder(spark, "merkle"))
+
+
+OP13_SQL = """
+with items as (
+    select item_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+    from benchmark where text is not null
+), windows as (
+    select item_id, 10 as n, array_to_string(list_slice(w, i, i + 9), ' ') as passage
+    from (select item_id, w, unnest(range(1, len(w) - 8)) as i from items)
+    union
+    select item_id, len(w), array_to_string(w, ' ') from items where len(w) between 1 and 9
+), texts as (
+    select doc_id, row_number() over () as row_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+    from documents
+), passages as (
+    select row_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') as passage
+    from (select row_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+          from texts cross join (select distinct n from windows))
+), hits as (
+    select row_id, passages.n, i, item_id from passages join windows using (n, passage)
+), counted as (
+    select row_id, count(distinct word) as n_hit
+    from (select row_id, unnest(range(i, i + n)) as word from (select distinct row_id, n, i from hits))
+    group by row_id
+), named as (
+    select row_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as item_ids
+    from (select distinct row_id, cast(item_id as varchar) as item_id from hits where item_id is not null)
+    group by row_id
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(item_ids, '')) as items_sha256, n_hit is not null as contaminated
+from texts left join counted using (row_id) left join named using (row_id)
+"""
+
+
+@_register("op13_decontaminate", OP13_SQL)
+def op13_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    found = decontaminate.find_passages(docs, benchmark, keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        decontaminate.n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
