@@ -217,15 +217,20 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tu
 _BUILT: dict[str, Automaton] = {}
 
 
+def _built(name: str, block, window: int) -> Automaton:
+    """The automaton of a block; a worker process keeps the last one."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Automaton([(i, t.encode().split(), w) for i, t, w in block.value], window)
+    return _BUILT[name]
+
+
 def _scanner(block, name: str, window: int, kept: list[str]):
     """Kept columns, ``n_words``, ``spans`` and ``items`` of each row's ``__text``."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _BUILT:
-            _BUILT.clear()
-            _BUILT[name] = Automaton([(i, t.encode().split(), w) for i, t, w in block.value], window)
-        automaton = _BUILT[name]
+        automaton = _built(name, block, window)
         for batch in steps(batches):
             n_words, spans, items = [], [], []
             for text in batch["__text"].cast(pa.binary()).to_pylist():

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelayers.llm import bpe, chat, decontaminate, embeddings, language, lines, merkle, neardup, packing
-from carelayers.llm import secrets, topk, warc
+from carelayers.llm import phrases, secrets, topk, warc
 from carelayers.llm.tokens import default_tokenizer
 from carelayers.sources.layers import shared_folder
 
@@ -312,3 +312,45 @@ def op13_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+OP11_SQL = """
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\\x0A-\\x0D]')) as piece
+    from documents
+), lists as (
+    select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces
+), totals as (
+    select lang, cast(sum(len(w)) as bigint) as n from lists group by lang
+), phrases as (
+    select lang, size, phrase, count(*) as f
+    from (select lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') as phrase
+          from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i
+                from lists cross join (select unnest([1, 2, 3, 4, 5]) as size)))
+    group by lang, size, phrase having count(*) >= 100
+), cuts as (
+    select lang, size, phrase, f as a, k, array_to_string(list_slice(w, 1, k), ' ') as head,
+           array_to_string(list_slice(w, k + 1, size), ' ') as tail
+    from (select *, string_split(phrase, ' ') as w, unnest(range(1, size)) as k from phrases where size > 1)
+), scored as (
+    select cuts.lang, cuts.phrase, cuts.size, a, k, h.f as l, t.f as r, n,
+           cast((cast(1000 as hugeint) * a * n) // (cast(h.f as hugeint) * t.f) as bigint) as score
+    from cuts join phrases h on h.lang = cuts.lang and h.phrase = head
+    join phrases t on t.lang = cuts.lang and t.phrase = tail join totals on totals.lang = cuts.lang
+), lowest as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), kept as (
+    select * from lowest c where not exists (
+        select 1 from phrases x where x.lang = c.lang and x.size > c.size and 100 * x.f >= 100 * c.a
+        and contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept qualify rank <= 2000
+"""
+
+
+@_register("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))

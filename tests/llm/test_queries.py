@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 COLUMNS = {
