@@ -89,18 +89,17 @@ _CHUNK = "chunk bigint, lang string, n_words bigint, ids binary, start int, word
 def _chunks(batches: Iterable[pa.RecordBatch], chunk_words: int) -> Iterator[pa.RecordBatch]:
     """Chunks of the texts of each language: a row with the numbers, then rows of its dictionary."""
     serial = TaskContext.get().partitionId() << 32
-    numbers: dict[str, _Numbers] = {}
-    parts: dict[str, list[np.ndarray]] = {}
+    gathered: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
     size = 0
 
     def written() -> Iterator[pa.RecordBatch]:
         nonlocal serial
-        for lang, found in numbers.items():
-            ids = np.concatenate(parts[lang]) - 2
-            counts = np.bincount(ids[ids >= 0], minlength=len(found) - 2)
-            words = list(found)[2:]
+        for lang, (number, parts) in gathered.items():
+            words = list(number)[2:]
             if not words:
                 continue
+            ids = np.concatenate(parts) - 2
+            counts = np.bincount(ids[ids >= 0], minlength=len(words))
             yield _row(serial, lang, int(counts.sum()), _tight(ids).tobytes(), 0, [], [])
             for start in range(0, len(words), ROWS):
                 some = [w.decode() for w in words[start : start + ROWS]]
@@ -113,22 +112,17 @@ def _chunks(batches: Iterable[pa.RecordBatch], chunk_words: int) -> Iterator[pa.
             if text:
                 together.setdefault(lang, []).append(text)
         for lang, texts in together.items():
-            number = numbers.setdefault(lang, _Numbers())
             for data in _slices(b"\n".join(texts).translate(_PLAIN)):
                 tokens = data.replace(b"\n", b" \n ").split(b" ")
+                number, parts = gathered.setdefault(lang, (_Numbers(), []))
                 ids = np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens))
                 ids = np.append(ids[ids > 0], np.int32(1))
-                parts.setdefault(lang, []).append(ids)
+                parts.append(ids)
                 size += len(ids)
                 if size >= chunk_words:
                     yield from written()
-                    numbers.clear()
-                    parts.clear()
+                    gathered.clear()
                     size = 0
-                    number = numbers.setdefault(lang, _Numbers())
-                    parts.setdefault(lang, [])
-    parts = {k: v for k, v in parts.items() if v}
-    numbers = {k: v for k, v in numbers.items() if k in parts}
     yield from written()
 
 
