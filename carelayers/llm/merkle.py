@@ -95,13 +95,15 @@ def _bounded(df: DataFrame) -> DataFrame:
 
 
 def write_manifest(items: DataFrame, folder: str) -> Manifest:
-    """Write leaves, records and subroots of ``items`` below ``folder``.
+    """Write items, leaves, records and subroots below ``folder``.
 
     ``items`` has ``tree`` (text, not NULL; trees are ordered by its bytes), ``key`` (the order of leaves,
     NULL last; equal keys go by leaf, then by the other columns), ``leaf`` (hex digest) and any other
     columns, which the written leaves keep. No items give no root.
     """
     spark = items.sparkSession
+    items.write.parquet(f"{folder}/items")
+    items = spark.read.parquet(f"{folder}/items")
     placed = rank_within(items, ["tree"], ["key", "leaf"], "place").withColumn("place", F.col("place") - 1)
     placed.write.parquet(f"{folder}/leaves")
     leaves = spark.read.parquet(f"{folder}/leaves")

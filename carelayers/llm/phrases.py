@@ -10,8 +10,8 @@ Within a chunk, ids are cut into ranges, and pairs into the tiles that two range
 frequency, a few tiles hold most pairs: a tile with many is counted in a dense array by address, all
 others together as sorted coordinates.
 
-Nothing that grows with the corpus is held by the driver or sent to all tasks: new ids reach a chunk by
-a join with the pairs it has counted.
+New ids reach the chunks as one table for all tasks while they are few, as counted; beyond that they are
+joined with what each chunk has counted. The results are the same.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,11 +36,13 @@ MAX_WORDS = 5
 #: Phrases reported for each language.
 TOP = 2000
 #: Words that a task gathers before it writes its chunks, one for each language it has met.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_500_000
 #: Bytes of a long text that are split at once (more if it has no break there).
 SLICE_BYTES = 4 << 20
-#: Words in one row of a chunk's dictionary, and counts in one batch.
+#: Counts in one batch.
 ROWS = 100_000
+#: Words or phrases whose ids are sent to all tasks (12 bytes and a word each); more are joined.
+BROADCAST_ROWS = 500_000
 #: Ids in a range: a tile has this number squared of addresses.
 TILE = 1024
 #: A tile with so many pairs of a chunk is counted by address.
@@ -83,11 +86,19 @@ def _tight(ids: np.ndarray) -> np.ndarray:
     return np.where(paired, ids, -1)[paired | before].astype(np.int32)
 
 
-_CHUNK = "chunk bigint, lang string, n_words bigint, ids binary, start int, words array<string>, counts array<bigint>"
+def _packed(ids: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(ids.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
+
+
+_CHUNK = "chunk bigint, lang string, n_words bigint, ids binary, words array<string>, counts array<bigint>"
 
 
 def _chunks(batches: Iterable[pa.RecordBatch], chunk_words: int) -> Iterator[pa.RecordBatch]:
-    """Chunks of the texts of each language: a row with the numbers, then rows of its dictionary."""
+    """Chunks of the texts of each language, with their words and how often each occurs."""
     serial = TaskContext.get().partitionId() << 32
     gathered: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
     size = 0
@@ -100,10 +111,10 @@ def _chunks(batches: Iterable[pa.RecordBatch], chunk_words: int) -> Iterator[pa.
                 continue
             ids = np.concatenate(parts) - 2
             counts = np.bincount(ids[ids >= 0], minlength=len(words))
-            yield _row(serial, lang, int(counts.sum()), _tight(ids).tobytes(), 0, [], [])
-            for start in range(0, len(words), ROWS):
-                some = [w.decode() for w in words[start : start + ROWS]]
-                yield _row(serial, lang, None, None, start, some, counts[start : start + ROWS])
+            values = (serial, lang, int(counts.sum()), _packed(_tight(ids)), [w.decode() for w in words], counts)
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            names = ["chunk", "lang", "n_words", "ids", "words", "counts"]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
             serial += 1
 
     for batch in steps(batches):
@@ -126,13 +137,6 @@ def _chunks(batches: Iterable[pa.RecordBatch], chunk_words: int) -> Iterator[pa.
     yield from written()
 
 
-def _row(chunk, lang, n_words, ids, start, words, counts) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
-    values = (chunk, lang, n_words, ids, start, words, counts)
-    names = ["chunk", "lang", "n_words", "ids", "start", "words", "counts"]
-    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
-
-
 def pair_counts(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(first, second, count)`` of all pairs of neighbouring ids; -1 is a break."""
     first, second = ids[:-1].astype(np.int64), ids[1:].astype(np.int64)
@@ -162,7 +166,7 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pair counts of every chunk."""
     for batch in batches:
         for chunk, lang, data in zip(*(batch[c].to_pylist() for c in ("chunk", "lang", "ids"))):
-            for a, b, n in pair_counts(np.frombuffer(data, np.int32)):
+            for a, b, n in pair_counts(_unpacked(data)):
                 for start in range(0, len(a), ROWS):
                     end = min(start + ROWS, len(a))
                     same = [pa.repeat(pa.scalar(v, k), end - start) for v, k in ((chunk, pa.int64()), (lang, pa.string()))]
@@ -173,89 +177,128 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _STATE = "chunk bigint, lang string, ids binary"
 
 
-def _renumbered(pairs: bool):
-    """Chunks with new ids: for their words, or for the pairs of neighbouring ids."""
+def _of_pairs(ids: np.ndarray, keys: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """The new id of each pair of neighbours that is among the sorted ``keys``, else -1."""
+    first, second = ids[:-1].astype(np.int64), ids[1:].astype(np.int64)
+    asked = np.where((first >= 0) & (second >= 0), first << 32 | second, -1)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, new[at], -1)
+
+
+def _of_words(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The new id of each word, where -1 stands for no word; ``known`` has one for each number."""
+    return np.append(known, -1)[ids]
+
 
-    def new_ids(ids: np.ndarray, held: pa.StructArray) -> np.ndarray:
+def _states(batches: Iterable[pa.RecordBatch], renumbered) -> Iterator[pa.RecordBatch]:
+    """Chunks with the ids that ``renumbered`` gives for a row's own; empty ones go."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            ids = _unpacked(row["ids"][0].as_py())
+            tight = _tight(renumbered(row, ids)) if len(ids) else ids
+            if len(tight):
+                arrays = [row["chunk"], row["lang"], pa.array([_packed(tight)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["chunk", "lang", "ids"])
+
+
+def _from_all(table, pairs: bool):
+    """New ids from a broadcast table ``{lang: ids of words}`` or ``{lang: (sorted pairs, ids)}``."""
+
+    def renumbered(row: pa.RecordBatch, ids: np.ndarray) -> np.ndarray:
+        held = table.value.get(row["lang"][0].as_py())
+        if held is None:
+            return np.full(len(ids), -1)
+        if pairs:
+            return _of_pairs(ids, *held)
+        words = row["words"][0].as_py()
+        return _of_words(ids, np.fromiter((held.get(w, -1) for w in words), np.int32, len(words)))
+
+    return lambda batches: _states(batches, renumbered)
+
+
+def _from_row(pairs: bool):
+    """New ids from the row's own list ``held`` of ``(a, b, id)``."""
+
+    def renumbered(row: pa.RecordBatch, ids: np.ndarray) -> np.ndarray:
+        held = row["held"][0].values
         a, b, new = (held.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b", "id"))
-        if not pairs:
-            known = np.full(max(a.max(), ids.max()) + 2, -1, np.int32)
-            known[a] = new
-            return known[ids]  # -1 takes the last one, which is -1
-        keys = a << 32 | b
-        order = np.argsort(keys)
-        keys, new = keys[order], new[order]
-        first, second = ids[:-1].astype(np.int64), ids[1:].astype(np.int64)
-        asked = np.where((first >= 0) & (second >= 0), first << 32 | second, -1)
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        return np.where(keys[at] == asked, new[at], -1).astype(np.int32)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids = np.frombuffer(batch["ids"][i].as_py(), np.int32)
-                held = batch["held"][i].values
-                tight = _tight(new_ids(ids, held)) if len(ids) else ids
-                if len(tight):
-                    row = batch.slice(i, 1)
-                    arrays = [row["chunk"], row["lang"], pa.array([tight.tobytes()], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(arrays, ["chunk", "lang", "ids"])
-
-    return run
+        if pairs:
+            keys = a << 32 | b
+            order = np.argsort(keys)
+            return _of_pairs(ids, keys[order], new[order])
+        known = np.full(max(int(a.max()), int(ids.max())) + 1, -1)
+        known[a] = new
+        return _of_words(ids, known)
+
+    return lambda batches: _states(batches, renumbered)
 
 
 class _Mining:
     """The steps from texts to frequent phrases, each written to ``folder``."""
 
-    def __init__(self, spark, folder: str, min_count: int, chunk_words: int):
-        self.spark, self.folder, self.min_count, self.chunk_words = spark, folder, min_count, chunk_words
+    def __init__(self, spark, folder: str, min_count: int, chunk_words: int, broadcast_rows: int):
+        self.spark, self.folder, self.min_count = spark, folder, min_count
+        self.chunk_words, self.broadcast_rows = chunk_words, broadcast_rows
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
-    def ranked(self, found: DataFrame, by: list[str], name: str) -> DataFrame:
-        """``found`` with ids from 0 per language, the most frequent first."""
-        ordered = found.withColumn("less", -F.col("n"))
-        ids = rank_within(ordered, ["lang"], ["less", *by], "place")
+    def ranked(self, counts: DataFrame, by: list[str], name: str) -> DataFrame:
+        """What is frequent, with ids from 0 per language, the most frequent first."""
+        found = counts.groupBy("lang", *by).agg(F.sum("n").alias("n")).where(F.col("n") >= self.min_count)
+        found = self.written(found.withColumn("less", -F.col("n")), f"found-{name}")
+        ids = rank_within(found, ["lang"], ["less", *by], "place")
         return self.written(ids.withColumn("id", (F.col("place") - 1).cast("int")).drop("less", "place"), name)
 
-    def state(self, chunks: DataFrame, held: DataFrame, pairs: bool, name: str) -> DataFrame:
-        """The chunks with ids that ``held`` (``chunk, a, b, id``) has for their words or pairs."""
-        lists = held.groupBy("chunk").agg(F.collect_list(F.struct("a", "b", "id")).alias("held"))
-        joined = chunks.join(lists, "chunk").select("chunk", "lang", "ids", "held")
-        return self.written(joined.mapInArrow(_renumbered(pairs), _STATE), name)
+    def few(self, ids: DataFrame) -> bool:
+        return ids.count() <= self.broadcast_rows
+
+    def state(self, chunks: DataFrame, counts: DataFrame, ids: DataFrame, by: list[str], name: str) -> DataFrame:
+        """Chunks with the new ids of their words or pairs."""
+        pairs = by == ["a", "b"]
+        if self.few(ids):
+            held = ids.select("lang", *by, "id").toPandas()
+            table = {}
+            for lang, some in held.groupby("lang"):
+                new = some["id"].to_numpy(np.int32)
+                if pairs:
+                    keys = some["a"].to_numpy(np.int64) << 32 | some["b"].to_numpy(np.int64)
+                    order = np.argsort(keys)
+                    table[lang] = keys[order], new[order]
+                else:
+                    table[lang] = dict(zip(some["phrase"].tolist(), new.tolist()))
+            new = _from_all(self.spark.sparkContext.broadcast(table), pairs)
+            wanted = ["chunk", "lang", "ids"] if pairs else ["chunk", "lang", "ids", "words"]
+            return self.written(chunks.select(*wanted).mapInArrow(new, _STATE), name)
+        met = counts.join(ids.drop("n"), ["lang", *by])
+        a, b = ("a", "b") if pairs else ("at", F.lit(0).alias("b"))
+        lists = met.groupBy("chunk").agg(F.collect_list(F.struct(F.col(a).alias("a"), b, "id")).alias("held"))
+        joined = chunks.select("chunk", "lang", "ids").join(lists, "chunk")
+        return self.written(joined.mapInArrow(_from_row(pairs), _STATE), name)
 
     def words(self, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Words of each language, the frequent ones as phrases, and the chunks in their ids."""
         chunk_words = self.chunk_words
         chunks = self.written(docs.mapInArrow(lambda batches: _chunks(batches, chunk_words), _CHUNK), "chunks")
-        totals = chunks.where("n_words is not null").groupBy("lang").agg(F.sum("n_words").alias("total"))
-        each = chunks.where("ids is null").select(
-            "chunk", "lang", "start", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")
-        )
-        each = each.select("chunk", "lang", (F.col("start") + F.col("at")).alias("a"), "x.words", "x.counts")
-        found = each.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("n"))
-        words = self.ranked(found.where(F.col("n") >= self.min_count), ["phrase"], "phrases1")
-        held = each.join(words.withColumnRenamed("phrase", "words"), ["lang", "words"])
-        held = held.select("chunk", "a", F.lit(0).alias("b"), "id")
-        state = self.state(chunks.where("ids is not null"), held, False, "state1")
+        totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("total"))
+        each = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x"))
+        counts = each.select("chunk", "lang", "at", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
+        words = self.ranked(counts, ["phrase"], "phrases1")
+        state = self.state(chunks, counts, words, ["phrase"], "state1")
         return totals, words.withColumn("last", F.col("phrase")), state
 
     def longer(self, phrases: DataFrame, state: DataFrame, size: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
         """Frequent phrases of ``size`` words and the chunks in their ids."""
-        counts = self.written(state.mapInArrow(_counted, _COUNTS), f"counts{size}")
-        found = counts.groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= self.min_count)
-        pairs = self.ranked(found, ["a", "b"], f"pairs{size}")
+        counts = state.mapInArrow(_counted, _COUNTS)
+        pairs = self.ranked(counts, ["a", "b"], f"pairs{size}")
         head = phrases.select("lang", F.col("id").alias("a"), F.col("phrase").alias("head"))
         tail = phrases.select("lang", F.col("id").alias("b"), "last")
         text = F.concat("head", F.lit(" "), F.col("last")).alias("phrase")
         texts = pairs.join(head, ["lang", "a"]).join(tail, ["lang", "b"]).select("lang", "id", text, "last", "n")
         texts = self.written(texts, f"phrases{size}")
-        if last:
-            return texts, None
-        held = counts.join(pairs.drop("n"), ["lang", "a", "b"]).select("chunk", "a", "b", "id")
-        return texts, self.state(state, held, True, f"state{size}")
+        return texts, None if last else self.state(state, counts, pairs, ["a", "b"], f"state{size}")
 
 
 def _scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
@@ -316,6 +359,7 @@ def collocations(
     max_words: int = MAX_WORDS,
     top: int = TOP,
     chunk_words: int = CHUNK_WORDS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best phrases of each language.
 
@@ -330,7 +374,7 @@ def collocations(
     phrases are 32-bit numbers for each language.
     """
     spark = docs.sparkSession
-    mining = _Mining(spark, shared_folder(spark, "phrases"), min_count, chunk_words)
+    mining = _Mining(spark, shared_folder(spark, "phrases"), min_count, chunk_words, broadcast_rows)
     texts = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")
     )

@@ -75,9 +75,9 @@ def table(seed, n, words):
 
 @pytest.mark.parametrize("seed", range(2))
 def test_equals_brute_force(spark, seed):
-    """With a chunk a task, and with many."""
+    """With a chunk a task and ids sent to all; with many chunks and ids joined."""
     rows = table(seed, 250, 20)
-    more = {"extra": True, "chunk_words": 200} if seed else {}
+    more = {"extra": True, "chunk_words": 200, "broadcast_rows": 0} if seed else {}
     assert found(spark, rows, 7, 25, **more) == sorted(brute(rows, 7, 25))
 
 
