@@ -17,7 +17,6 @@ from carelayers.operators.reports import (
     duplicate_groups,
     duplicate_summary,
     exact_duplicate_count,
-    head_by,
     null_profile,
     reconcile,
     top_groups,
@@ -248,8 +247,7 @@ def near_duplicate_pairs(t):
     "select * from step_near_pairs order by HADM_ID, START_1, ID_1, ID_2 limit 20",
 )
 def pair_preview(t):
-    pairs = procedures.near_duplicate_events(t.procedureevents_mv, "RAW_START", "RAW_END")
-    return head_by(pairs, pairs.columns, ["HADM_ID", "START_1", "ID_1", "ID_2"], 20)
+    return procedures.near_duplicate_preview(t.procedureevents_mv, "RAW_START", "RAW_END")
 
 
 SQL_COMPARE = """select s.HADM_ID, s.n as rows_before, coalesce(g.n, 0) as rows_after,

@@ -22,6 +22,7 @@ from carelayers.sources.layers import (
     shared_folder,
     write_layer,
 )
+from carelayers.sources.published import publish_layer, read_published
 from carelayers.sources.raw import RawFolder, first_rows, read_raw
 
 
@@ -86,6 +87,14 @@ def sink_parquet_overwrite(t):
     return t.spark.read.parquet(layer_path(root, "bronze", "cptevents"))
 
 
+@register("sink_published", "select * from in_cptevents")
+def sink_published(t):
+    root = shared_folder(t.spark, "layers")
+    publish_layer(t.procedures_icd, root, "bronze", "cptevents")
+    publish_layer(t.cptevents, root, "bronze", "cptevents")
+    return read_published(t.spark, root, "bronze", "cptevents")
+
+
 @register("sink_parquet_partitions", "select * from in_d_cpt")
 def sink_parquet_partitions(t):
     root = shared_folder(t.spark, "layers")

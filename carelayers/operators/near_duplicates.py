@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import product
 from operator import and_
@@ -68,3 +68,26 @@ def near_duplicates(
         F.when(mine < other, F.col("__row")).otherwise(F.col("__other")).alias("a"),
         F.when(mine < other, F.col("__other")).otherwise(F.col("__row")).alias("b"),
     )
+
+
+def first_pairs(
+    df: DataFrame,
+    pairs_of: Callable[[DataFrame], DataFrame],
+    group: str,
+    order: Sequence[str],
+    n: int,
+    groups: int = 8,
+) -> DataFrame:
+    """The first ``n`` pairs by ``group`` and then ``order``, without pairing what comes after them.
+
+    ``pairs_of`` makes pairs within equal values of ``group``. It is given the rows of the first ``groups``
+    values, of eight times as many if that makes too few pairs, and so on; NULL has no pairs.
+    """
+    values = df.where(F.col(group).isNotNull()).select(group).distinct()
+    while True:
+        first = values.orderBy(group).limit(groups).agg(F.max(group).alias("last"), F.count(F.lit(1)).alias("n")).first()
+        some = pairs_of(df.where(F.col(group) <= F.lit(first["last"])))
+        found = some.orderBy(group, *order).limit(n)
+        if first["n"] < groups or found.count() == n:
+            return found
+        groups *= 8

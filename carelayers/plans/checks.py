@@ -16,7 +16,6 @@ from carelayers.operators.reports import (
     duplicate_groups,
     duplicate_summary,
     exact_duplicate_count,
-    head_by,
     reconcile,
     top_groups,
 )
@@ -54,7 +53,7 @@ def _procedureevents_mv(read: Reader) -> dict[str, DataFrame]:
         "bucket_stats": bucket_stats(bronze, "HADM_ID"),
         "top_buckets": top_groups(bronze, ["HADM_ID"], 10),
         "near_duplicates": pairs,
-        "pair_preview": head_by(pairs, pairs.columns, ["HADM_ID", "START_1", "ID_1", "ID_2"], 20),
+        "pair_preview": procedures.near_duplicate_preview(silver),
         "removed": compare_counts(silver, read("gold", "procedureevents_mv"), "HADM_ID"),
     }
 

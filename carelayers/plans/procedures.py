@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelayers.operators.clean import drop_columns, drop_sparse_columns, require_keys
-from carelayers.operators.near_duplicates import near_duplicates
+from carelayers.operators.near_duplicates import first_pairs, near_duplicates
 from carelayers.operators.ranking import dedup_by_priority
 from carelayers.operators.reports import head_by
 from carelayers.operators.rollup import edge_counts
@@ -89,6 +89,12 @@ def near_duplicate_events(
     return pairs.select("HADM_ID", "ITEMID", "CGID", status, *sides)
 
 
+def near_duplicate_preview(silver: DataFrame, start: str = "STARTTIME", end: str = "ENDTIME", n: int = 20) -> DataFrame:
+    """The first near-duplicate pairs by admission; admissions after them are not paired."""
+    order = ["START_1", "ID_1", "ID_2"]
+    return first_pairs(silver, lambda rows: near_duplicate_events(rows, start, end), "HADM_ID", order, n)
+
+
 def gold_d_cpt(bronze: DataFrame) -> DataFrame:
     return require_keys(bronze, D_CPT_KEYS)
 

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from carelayers.operators.near_duplicates import _half_neighbourhood, near_duplicates
+from carelayers.operators.near_duplicates import _half_neighbourhood, first_pairs, near_duplicates
 
 START = datetime(2101, 1, 1)
 SCHEMA = "id long, k string, g int, s timestamp, e timestamp, status string"
@@ -94,3 +94,21 @@ def test_a_big_cell_is_split_at_run_time(spark):
     finally:
         for name, value in old.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("n", [5, 40, 10_000])
+def test_first_pairs_make_few_pairs(spark, n):
+    """Three near events in each of 300 groups and in none of the first 20: as all pairs in order, from few of them."""
+    data = [(g * 10 + i, "k", g, START, START + timedelta(minutes=i if g >= 20 else 90 * i), "x") for g in range(320) for i in range(3)]
+    df = spark.createDataFrame(data, SCHEMA)
+    seen = []
+
+    def pairs_of(rows):
+        seen.append(rows.count())
+        return near_duplicates(rows, ["k", "g"], "id", ["s", "e"])
+
+    got = [(r.g, r.a.id, r.b.id) for r in first_pairs(df, pairs_of, "g", ["a.id", "b.id"], n).collect()]
+    every = sorted((g, a * 1, b) for g in range(20, 320) for a, b in ((g * 10, g * 10 + 1), (g * 10, g * 10 + 2), (g * 10 + 1, g * 10 + 2)))
+    assert got == every[:n]
+    assert seen[-1] <= (3 * 64 if n < 100 else len(data))
+    assert first_pairs(df.limit(0), pairs_of, "g", ["a.id"], 3).collect() == []
