@@ -37,6 +37,8 @@ LIKELY = 0.66
 FIRST, LEAST_FIRST, LEAST_EQUAL = 64, 24, 222
 #: Rows of a bucket that are compared with as many others at once.
 BLOCK = 2048
+#: Partners of a document that are checked against its full set in one piece.
+PIECE = 512
 #: Lists of ids of up to so many rows (8 bytes each) are sent to every executor, longer ones shuffled.
 SENT_IDS = 500_000
 
@@ -166,30 +168,27 @@ def _bytes_of(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), width)
 
 
-_SKETCH = "id {id}, n bigint, k1 bigint, k2 bigint, registers binary"
+_SKETCH = "id {id}, n bigint, c binary, registers binary"
+
+
+def _classes(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """128 bits of every set."""
+    keys = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds, bounds[1:])]
+    return pa.array(keys, pa.binary())
 
 
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in steps(batches, 1 << 20):
         hashes, bounds = shingles(texts(part.column(1)))
-        keys = np.zeros((part.num_rows, 2), dtype=np.int64)
-        for i in range(part.num_rows):
-            held = hashes[bounds[i] : bounds[i + 1]].tobytes()
-            keys[i] = np.frombuffer(hashlib.blake2b(held, digest_size=16).digest(), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                part.column(0), pa.array(np.diff(bounds)), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()),
-                _binary(sketches(hashes, bounds)),
-            ],
-            names=["id", "n", "k1", "k2", "registers"],
-        )
+        arrays = [part.column(0), pa.array(np.diff(bounds)), _classes(hashes, bounds), _binary(sketches(hashes, bounds))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "c", "registers"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in steps(batches):
-        hashes, bounds = shingles(texts(part.column(1)))
+        hashes, bounds = shingles(texts(part.column(0)))
         sets = [hashes[bounds[i] : bounds[i + 1]].tobytes() for i in range(part.num_rows)]
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        yield pa.RecordBatch.from_arrays([_classes(hashes, bounds), pa.array(sets, pa.binary())], names=["c", "shingles"])
 
 
 def _likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,15 +201,20 @@ def _likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows ``a, b, shingles_a, shingles_b`` the pairs that link."""
+    """Of rows ``b, piece, a, shingles`` the pairs that link; each piece begins with the set of ``b`` itself."""
+    mine = np.zeros(0, np.uint64)
     for part in steps(batches):
-        go = []
-        for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-            x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            go.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
-        go = pa.array(go, pa.bool_())
-        yield pa.RecordBatch.from_arrays([part.column(0).filter(go), part.column(1).filter(go)], names=["a", "b"])
+        a, b = [], []
+        for one, other, held in zip(part["a"].to_pylist(), part["b"].to_pylist(), part["shingles"].to_pylist()):
+            held = np.frombuffer(held, dtype=np.uint64)
+            if one is None:
+                mine = held
+                continue
+            shared = len(np.intersect1d(held, mine, assume_unique=True))
+            if 100 * shared >= PERCENT * (len(held) + len(mine) - shared):
+                a.append(one)
+                b.append(other)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b)], names=["a", "b"])
 
 
 _GROUP = ["band", "i", "j"]
@@ -219,25 +223,28 @@ _GROUP = ["band", "i", "j"]
 def _compare_blocks(best_only: bool):
     """``(a, b, similarity)`` of the likely pairs of different components in every group.
 
-    Groups come one after the other, sorted; those that end in a batch are compared together, each
-    row with the row one, two, three ... places after it. A pair counts in the first band that it
-    agrees in and in no other. With ``best_only`` each row gives only its likeliest partner.
+    Groups come one after the other, sorted, strangers first; those that end in a batch are compared
+    together, each stranger with the row one, two, three ... places after it. A pair counts in the first
+    band that it agrees in and in no other. With ``best_only`` each row gives only its likeliest partner.
     """
 
     def pairs(rows: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         component, block, n, place = (rows.column(c).to_numpy() for c in ("component", "block", "n", "place"))
         most, partner = np.zeros(len(group)), np.zeros(len(group), dtype=np.int64)
+        main = rows.column("main").to_numpy()
+        # A group is of strangers with a part of the main component, or of two blocks of strangers.
+        with_main = rows.column("i").to_numpy() >= 0
         one_block = rows.column("i").to_numpy() == rows.column("j").to_numpy()
         registers = _bytes_of(rows.column("registers"), REGISTERS)
         first = registers[:, :FIRST].copy()
-        ids = rows.column("id").combine_chunks()
+        ids = rows.column("u").combine_chunks()
         last = np.searchsorted(group, group, side="right") - 1
-        left = np.arange(len(group))
-        for step in range(1, int((last - left).max(initial=0)) + 1):
+        left = np.flatnonzero(~main)
+        for step in range(1, int((last[left] - left).max(initial=0)) + 1):
             left = left[left + step <= last[left]]
             x, y = left, left + step
             # Sizes that are too far apart cannot link; components that are one need not.
-            go = (component[x] != component[y]) & (one_block[x] | (block[x] != block[y]))
+            go = np.where(with_main[x], main[y], one_block[x] | (block[x] != block[y])) & (component[x] != component[y])
             go &= 100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y])
             x, y = x[go], y[go]
             go = (first[x] == first[y]).sum(axis=1) >= LEAST_FIRST
@@ -282,13 +289,47 @@ def _compare_blocks(best_only: bool):
     return run
 
 
-def only(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The rows of ``df`` whose ``id`` is in ``ids`` (or with ``left_anti``, is not).
+def only(df: DataFrame, ids: DataFrame, by: str = "id") -> DataFrame:
+    """The rows of ``df`` whose ``by`` is in ``ids``.
 
     A list of at most ``SENT_IDS`` ids is sent to every executor, a longer one shuffled.
     """
     ids = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
-    return df.join(ids, "id", how)
+    return df.join(ids, by, "left_semi")
+
+
+def _blocked(parts: DataFrame) -> DataFrame:
+    """Rows of buckets in several components, once for every group of blocks that they are compared in.
+
+    ``parts`` has ``band, component`` and other columns. The largest component of a bucket is its main one:
+    its rows meet the others, called strangers, and not each other. Blocks of the main component are
+    numbered from 0, those of strangers from -1 down.
+    """
+    each = parts.groupBy("band", "component").agg(F.count(F.lit(1)).alias("rows"))
+    split = each.groupBy("band").agg(
+        F.count(F.lit(1)).alias("components"), F.sum("rows").alias("rows"), F.max(F.struct("rows", "component")).alias("most")
+    )
+
+    def blocks(rows):
+        return F.ceil(rows / BLOCK).cast("int")
+
+    split = split.where("components > 1").select(
+        "band",
+        F.col("most.component").alias("main_component"),
+        blocks(F.col("most.rows")).alias("mains"),
+        blocks(F.col("rows") - F.col("most.rows")).alias("strangers"),
+    )
+    rows = parts.join(split, "band").withColumn("main", F.col("component") == F.col("main_component"))
+    number = F.pmod(F.xxhash64("u"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("strangers"))).cast("int")
+    rows = rows.withColumn("block", F.when(F.col("main"), number).otherwise(-1 - number))
+    own, mains, strangers = F.col("block"), F.col("mains"), F.col("strangers")
+    with_strangers = F.transform(F.sequence(F.lit(1), strangers), lambda k: F.struct(own.alias("i"), (-k).alias("j")))
+    with_main = F.transform(F.sequence(F.lit(0), mains - 1), lambda k: F.struct(k.alias("i"), own.alias("j")))
+    with_others = F.transform(
+        F.sequence(F.lit(1), strangers), lambda k: F.struct(F.least(own, -k).alias("i"), F.greatest(own, -k).alias("j"))
+    )
+    met = F.when(F.col("main"), with_strangers).otherwise(F.concat(with_main, with_others))
+    return rows.withColumn("met", F.explode(met)).select("*", "met.i", "met.j")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,13 +338,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Whole texts; documents link if their sets of shingles are similar enough (``PERCENT``). NULL or
     empty texts and those of blanks alone have no shingles and link with nothing; so does a row
     without an id, whose component is NULL and which is kept. Rows that repeat an id are documents of
-    their own that share the id as a node. An empty table gives no rows.
+    their own, each compared with its own text, that share the id as a node. An empty table gives no rows.
 
     Equal sets are one class, whose smallest id stands for it. The hub of a bucket is the class that
     meets most others over all buckets. First each class is compared with the hub it shares most bands
     with, which is one pair per class however large the groups; what these links join is then one
-    component. Then, in buckets whose classes are still in different components, each class is
-    compared with the likeliest one of another component, and last with all of them. These
+    component. Then, in buckets whose classes are still in different components, each class outside the
+    largest one is compared with the likeliest one of another component, and last with all of them. These
     comparisons of sketches are made in blocks, within a task, and nothing is left out.
     """
     spark = docs.sparkSession
@@ -318,80 +359,81 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_rows = written(rows.mapInArrow(_sketch, _SKETCH.format(id=id_kind)), "sketches")
     linking = F.col("id").isNotNull() & (F.col("n") > 0)
     keyed = all_rows.where(linking)
-    classes = written(keyed.groupBy("k1", "k2").agg(F.min("id").alias("id")), "classes")
+    # Each class once, numbered; equal sets have equal registers.
+    one = [F.any_value(x).alias(x) for x in ("n", "registers")]
+    classes = keyed.groupBy("c").agg(F.min("id").alias("id"), *one)
+    classes = written(classes.withColumn("u", F.monotonically_increasing_id()), "classes")
 
-    heads = keyed.join(classes, ["k1", "k2", "id"], "left_semi").select("id", "registers")
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("registers", i * ROWS + 1, F.lit(ROWS))),
     )
-    in_bands = heads.select("id", F.posexplode(pieces).alias("place", "band"))
+    in_bands = classes.select("u", F.posexplode(pieces).alias("place", "band"))
     shared = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     members = written(in_bands.join(shared, "band"), "members")
-    weights = written(members.groupBy("id").agg(F.sum("rows").alias("weight")), "weights")
-    known = only(all_rows.select("id", "n", "registers"), weights.select("id"))
-    # A repeated id keeps one of its sketches; its links are checked on full sets all the same.
-    known = written(known.groupBy("id").agg(F.max(F.struct("n", "registers")).alias("s")).select("id", "s.*"), "known")
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the candidate pairs that link by their full sets."""
-        pairs = written(pairs, f"{name}-pairs")
+    weights = written(members.groupBy("u").agg(F.sum("rows").alias("weight")), "weights")
+    known = written(only(classes, weights.select("u"), by="u"), "known")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame | None:
+        """Those of the candidate pairs of classes that link by their full sets, as ids."""
+        pairs = written(pairs.select("a", "b").distinct(), f"{name}-pairs")
         if pairs.isEmpty():
-            return pairs
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        picked = only(rows, written(ids, f"{name}-ids"))
-        sets = written(picked.mapInArrow(_sets, f"id {id_kind}, shingles binary"), f"{name}-sets")
-        for side in "ba":
-            sets_here = sets.select(F.col("id").alias(side), F.col("shingles").alias(f"shingles_{side}"))
-            pairs = pairs.join(sets_here, side)
-        found = pairs.select("a", "b", "shingles_a", "shingles_b").mapInArrow(_linked, f"a {id_kind}, b {id_kind}")
-        return written(found.distinct(), f"{name}-links")
+            return None
+        wanted = pairs.select(F.col("a").alias("u")).union(pairs.select(F.col("b").alias("u"))).distinct()
+        wanted = written(known.select("u", "c", "id").join(wanted, "u", "left_semi"), f"{name}-wanted")
+        sets = only(rows, wanted.select("id")).select("text").mapInArrow(_sets, "c binary, shingles binary")
+        sets = sets.join(wanted.select("c", "u"), "c").groupBy("u").agg(F.any_value("shingles").alias("shingles"))
+        sets = written(sets, f"{name}-sets")
+        held = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+        held = held.select("b", F.ceil(F.col("n") / PIECE).cast("int").alias("pieces"))
+        mine = held.join(sets.withColumnRenamed("u", "b"), "b")
+        mine = mine.select("b", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(None).cast("bigint").alias("a"), "shingles")
+        others = pairs.join(held, "b").join(sets.withColumnRenamed("u", "a"), "a")
+        others = others.select("b", F.pmod(F.xxhash64("a"), "pieces").cast("int").alias("piece"), "a", "shingles")
+        together = mine.unionByName(others).repartition("b", "piece").sortWithinPartitions("b", "piece", "a")
+        found = together.mapInArrow(_linked, "a bigint, b bigint")
+        for side in "ab":
+            found = found.join(known.select(F.col("u").alias(side), F.col("id").alias(f"id_{side}")), side)
+        return written(found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), f"{name}-links")
 
     # First each class and the hub that it shares most bands with.
-    hubs = members.join(weights, "id").groupBy("band").agg(F.max(F.struct("weight", "id")).alias("hub"))
-    stars = members.join(hubs.select("band", F.col("hub.id").alias("hub")), "band").where("id <> hub")
-    stars = stars.groupBy("id", "hub").agg(F.count(F.lit(1)).alias("bands"))
-    closest = stars.groupBy("id").agg(F.max(F.struct("bands", "hub")).alias("best"))
-    pairs = closest.select(F.col("id").alias("a"), F.col("best.hub").alias("b"))
+    hubs = members.join(weights, "u").groupBy("band").agg(F.max(F.struct("weight", "u")).alias("hub"))
+    stars = members.join(hubs.select("band", F.col("hub.u").alias("hub")), "band").where("u <> hub")
+    stars = stars.groupBy("u", "hub").agg(F.count(F.lit(1)).alias("bands"))
+    closest = stars.groupBy("u").agg(F.max(F.struct("bands", "hub")).alias("best"))
+    pairs = closest.select(F.col("u").alias("a"), F.col("best.hub").alias("b"))
     for side in "ab":
-        sketch = known.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"registers_{side}"))
+        sketch = known.select(F.col("u").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"registers_{side}"))
         pairs = pairs.join(sketch, side)
     pairs = pairs.select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
-    links = linked(pairs.mapInArrow(_likely, f"a {id_kind}, b {id_kind}"), "star")
-    joined = components(links)
+    none = classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    links = linked(pairs.mapInArrow(_likely, "a bigint, b bigint"), "star")
+    joined = components(none if links is None else links)
 
-    def in_split_buckets(joined: DataFrame, name: str, best_only: bool) -> DataFrame:
+    def in_split_buckets(joined: DataFrame, best_only: bool) -> DataFrame:
         """``(a, b, similarity)`` of likely pairs in different components, each bucket whole."""
-        parts = members.select("band", "place", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
-        parts = parts.withColumn("component", F.coalesce("component", "id"))
-        parts = written(parts, f"{name}-parts")
-        split = parts.groupBy("band").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows")
-        )
-        split = split.where("low <> high").select("band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-        blocked = parts.join(split, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        blocked = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        blocked = blocked.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-        blocked = blocked.join(known, "id").select(*_GROUP, "place", "id", "component", "block", "n", "registers")
-        by_group = blocked.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-        return by_group.mapInArrow(_compare_blocks(best_only), f"a {id_kind}, b {id_kind}, similarity double")
-
-    def grown(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """All links and the components they make, which stay as they are if nothing was found."""
-        if found.isEmpty():
-            return links, joined
-        more = links.unionByName(found)
-        return more, components(more)
-
-    met = in_split_buckets(joined, "closest", best_only=True)
-    best = met.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("best")).select("a", "best.b")
-    links, joined = grown(linked(best, "closest"))
-    rest = in_split_buckets(joined, "rest", best_only=False).select("a", "b")
-    links, joined = grown(linked(rest, "rest"))
+        at = known.select("u", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+        at = at.select("u", F.coalesce("component", "id").alias("component"))
+        blocked = _blocked(members.select("band", "place", "u").join(at, "u"))
+        blocked = blocked.join(known.select("u", "n", "registers"), "u").select(*_GROUP, "place", "u", "component", "block", "main", "n", "registers")
+        by_group = blocked.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "main")
+        return by_group.mapInArrow(_compare_blocks(best_only), "a bigint, b bigint, similarity double")
+
+    def grown(joined: DataFrame, found: DataFrame | None) -> DataFrame:
+        """The components with more links, which stay as they are if nothing was found."""
+        if found is None or found.isEmpty():
+            return joined
+        before = joined.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b")
+        return components(before.unionByName(found))
+
+    met = in_split_buckets(joined, best_only=True)
+    best = met.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    joined = grown(joined, linked(best, "closest"))
+    joined = grown(joined, linked(in_split_buckets(joined, best_only=False), "rest"))
 
     label = classes.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    label = label.select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
-    labelled = keyed.join(label, ["k1", "k2"]).select("id", "n", "component_id")
+    label = label.select("c", F.coalesce("component", "id").alias("component_id"))
+    labelled = keyed.join(label, "c").select("id", "n", "component_id")
     alone = all_rows.where(~F.coalesce(linking, F.lit(False))).select("id", "n", F.col("id").alias("component_id"))
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
     return labelled.unionByName(alone).select(

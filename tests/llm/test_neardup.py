@@ -119,4 +119,48 @@ def test_components(spark):
     found = {r.node: r.component for r in graph.components(links).collect()}
     nodes = {x for p in pairs if p[0] != p[1] for x in p}
     assert found == joined(nodes, [p for p in pairs if p[0] != p[1]])
+    by_rounds = {r.node: r.component for r in graph.components(links.repartition(4), one_task=0).collect()}
+    assert by_rounds == found
     assert graph.components(links.limit(0)).collect() == []
+
+
+def test_a_repeated_id_is_compared_by_each_text(spark):
+    """9 has two texts; 10 and 11 are near one of them each, and so all three hang together."""
+    random = np.random.default_rng(8)
+    one, two = words(random, 90), words(random, 40)
+    rows = [(9, " ".join(one), None, None), (9, " ".join(two), None, None), (10, " ".join(two) + " tail", None, None)]
+    rows += [(11, " ".join(one) + " end", None, None), (12, " ".join(words(random, 50)), None, None)]
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(document_table(spark, rows)).collect())
+    assert found == [(9, 36, 9), (9, 86, 9), (10, 37, 9), (11, 87, 9), (12, 46, 12)]
+
+
+def test_strangers_meet_the_main_component_only_once(spark):
+    """A bucket of 5000 rows of one component and 7 strangers makes no blocks of the component with itself."""
+    rows = [("bucket", i if i < 7 else 100, f"c{i}") for i in range(5007)]
+    parts = spark.createDataFrame(rows, "band string, component long, u string")
+    met = neardup._blocked(parts).collect()
+    assert sum(r.main for r in met) == 5000  # each row of the component once
+    assert sum(not r.main for r in met) == 7 * (3 + 1)  # with three blocks of it, and with each other
+    groups = {}
+    for r in met:
+        groups.setdefault((r.i, r.j), []).append(r)
+    compared = sum(
+        sum(not r.main for r in g) * sum(r.main for r in g) if i >= 0 else len(g) * (len(g) - 1) // 2
+        for (i, _), g in groups.items()
+    )
+    assert compared == 7 * 5000 + 7 * 6 // 2
+
+
+def test_all_pairs_of_different_components_meet(spark, monkeypatch):
+    """Small blocks: every pair of components meets in one group, pairs of the main one in none."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rows = [("bucket", 1 if i < 20 else 2 if i < 31 else i, f"c{i}") for i in range(45)]
+    met = neardup._blocked(spark.createDataFrame(rows, "band string, component long, u string")).collect()
+    seen = {}
+    for x in met:
+        for y in met:
+            if (x.i, x.j) == (y.i, y.j) and x.u < y.u and x.component != y.component:
+                whole = x.main != y.main if x.i >= 0 else x.i == x.j or x.block != y.block
+                seen[x.u, y.u] = seen.get((x.u, y.u), 0) + whole
+    expected = {tuple(sorted((a[2], b[2]))) for a in rows for b in rows if a[1] != b[1]}
+    assert {p for p, n in seen.items() if n == 1} == expected and max(seen.values()) == 1
