@@ -18,36 +18,55 @@ from carelayers.sources.layers import shared_folder
 ORACLE_SQL = None
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores more as it takes to be none of the columns."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` of the text as it is now."""
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Label every document with its predicted language; those in no language go."""
+    """Label every document with its predicted language; those in no language go.
+
+    NULL texts and texts without a letter go, as does all text where no row has a language to learn from;
+    NULL languages get the predicted one. Repeated rows are rows of their own, other columns stay.
+    """
     model = language.train(docs.where(~language.held_out()))
-    found = language.identify(docs, model, into=("__lang", "__score"))
-    found = found.where(F.col("__lang") != language.UNDETERMINED)
-    return found.withColumn("lang", F.col("__lang")).select(*docs.columns)
+    label = _unused(docs, "lang_found")
+    found = language.identify(docs, model, into=(label, _unused(docs, "score_found")))
+    found = found.where(F.col(label) != language.UNDETERMINED)
+    return found.withColumn("lang", F.col(label)).select(*docs.columns)
 
 
 def remove_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop lines that many sources share, but for their first place; all documents stay."""
-    return _counted(lines.dedup_lines(docs, removed_col="__removed")).select(*docs.columns)
+    """Drop lines that many sources share, but for their first place; all documents stay.
+
+    NULL texts stay NULL; rows without an id keep their lines; a NULL source is none; other columns stay.
+    """
+    return _counted(lines.dedup_lines(docs, removed_col=_unused(docs, "removed"))).select(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates stays, the one with the smallest id."""
+    """One document of every group of near-duplicates stays, the one with the smallest id.
+
+    NULL and empty texts and rows without an id stay; rows that repeat an id stay or go together.
+    """
     return neardup.first_of_each(docs).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets in the texts; all documents stay."""
+    """Replace secrets in the texts; all documents stay, NULL texts and other columns as they are."""
     return _counted(secrets.redacted(docs)).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of equal length."""
+    """Pieces of all documents in sequences of equal length; NULL and empty texts have an end token only."""
     return packing.pack(docs, default_tokenizer())
 
 
