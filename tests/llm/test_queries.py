@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from carelayers.llm import language, queries, secrets
@@ -111,6 +112,31 @@ def test_run_gives_the_same_as_its_stages(spark, sf_dir):
     assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, docs.select(columns).collect()))
 
 
+def test_stages_over_odd_rows(spark, tmp_path):
+    """NULLs in every column, repeated rows, empty texts, and columns with names that stages use."""
+    rows = [(i, f"The words of text {i} are its own\nand one line is shared {i % 2}", "en", f"s{i}", 9) for i in range(24)]
+    rows += [(None, "no number here but words", "en", "s1", 1), (30, None, "en", "s1", None), (31, "", None, None, 0)]
+    rows += [(32, "a word and nothing else", None, None, None), (5, "another text with the number of five", "en", "s9", 2)]
+    rows += [rows[3], rows[3], (33, "token = abcdefghijklmnop1234 and words", "en", "s2", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for name in ("lang_found", "score_found", "removed", "id", "n", "c", "u", "spans", "whole", "component_id"):
+        docs = docs.withColumn(name, F.lit(name))
+    columns, kept = docs.columns, []
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, None)
+        assert out.columns == columns
+        out.write.parquet(str(tmp_path / str(n)))
+        docs = spark.read.parquet(str(tmp_path / str(n)))
+        kept.append(docs.count())
+        assert all(r.lang_found == "lang_found" and r.removed == "removed" for r in docs.collect())
+    # Only the two rows without a letter go at first; all copies of a row, which share its id, stay.
+    assert kept == [len(rows) - 2] * 2 + [kept[2]] * 2
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert texts[33].startswith("[redacted]") and {None, 5, 32} <= set(texts)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, None)
+    assert packed.count() >= len(texts)
+
+
 def test_pipeline_over_an_empty_table(spark, tmp_path):
     columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     spark.createDataFrame([], columns).write.parquet(str(tmp_path / "documents.parquet"))
