@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelayers.operators.ranking import rank_within
+from carelayers.sources.layers import shared_folder
 
 #: Turns of a segment; a dialogue of up to so many turns is one text.
 SEGMENT_TURNS = 64
@@ -51,7 +52,8 @@ def perspectives(
     ``n_turns``.
 
     Numbering does not gather a dialogue in one task, and segments meet their speakers by dialogue and
-    segment, so neither a long nor a repeated dialogue is one task's work.
+    segment, so neither a long nor a repeated dialogue is one task's work. Segments are written once to the
+    shared folder.
     """
     rows = turns.select(
         F.col(conv_col).alias("conv"),
@@ -66,6 +68,9 @@ def perspectives(
     segments = ranked.groupBy("conv", "segment").agg(
         F.sort_array(F.collect_list(turn)).alias("own_turns"), F.min(F.when(~system, F.col("place"))).alias("other")
     )
+    folder = shared_folder(turns.sparkSession, "chat")
+    segments.write.parquet(folder)
+    segments = turns.sparkSession.read.parquet(folder)
     # One row a dialogue: its last segment, and the first turn that is not system's.
     whole = segments.groupBy("conv").agg(F.max("segment").alias("last"), F.min("other").alias("opened"))
     opening = F.filter("own_turns", lambda t: t["place"] < F.col("opened"))

@@ -140,24 +140,29 @@ with ranked as (
     from conversations
 ), segmented as (
     select *, cast(floor((place - 1) / 64) as bigint) as segment from ranked
-), speakers as (
-    select distinct conv_id, segment, role as perspective from segmented where role <> 'system'
+), opened as (
+    select conv_id, min(place) filter (role is distinct from 'system') as opened from segmented group by conv_id
+), texts as (
+    select distinct s.conv_id, g.segment, s.role as perspective
+    from segmented s join segmented g on s.conv_id is not distinct from g.conv_id where s.role <> 'system'
 ), pieces as (
-    select s.conv_id, s.segment, s.perspective, t.place, coalesce(t.role = s.perspective, false) as own,
+    select s.conv_id, s.segment, s.perspective, t.place, t.segment = s.segment as counted,
+           coalesce(t.role = s.perspective, false) as own,
            '<|im_start|>' || case when t.role = 'system' then 'system'
                when t.role = s.perspective then 'assistant'
                else 'user name=' || regexp_replace(replace(coalesce(t.role, 'unknown'), '<|', '<\\|'),
                                                    '\\s+', ' ', 'g') end || chr(10) as head,
            t.body || '<|im_end|>' as body
-    from speakers s join segmented t
-      on s.conv_id is not distinct from t.conv_id and s.segment = t.segment
+    from texts s join segmented t on s.conv_id is not distinct from t.conv_id
+    join opened o on o.conv_id is not distinct from t.conv_id
+    where t.segment = s.segment or (t.segment < s.segment and t.place < o.opened)
 ), placed as (
     select *, length(head) + coalesce(sum(length(head) + length(body) + 1) over (
                partition by conv_id, segment, perspective order by place
                rows between unbounded preceding and 1 preceding), 0) as start
     from pieces
 )
-select conv_id, segment, perspective, count(*) as n_turns,
+select conv_id, segment, perspective, count(*) filter (counted) as n_turns,
        string_agg(head || body || chr(10), '' order by place) as text,
        string_agg(start || ':' || (start + length(body)), ',' order by place) filter (own) as masks
 from placed group by conv_id, segment, perspective

@@ -86,12 +86,33 @@ def test_every_segment_for_every_speaker(spark):
     rows = [(1, 0, "system", "rules"), (1, 1, "system", "more")] + [(1, i, "cy", f"c{i}") for i in range(2, 11)]
     rows += [(1, i, "ann" if i % 2 else "bob", f"t{i}") for i in range(11, 128)]
     rows += [(1, i, None if i < 192 else "system", f"u{i}") for i in range(128, 256)]
+    rows = rows_of_long_dialogues(rows)
+    assert result(table(spark, rows)) == whole_brute(rows)
+    assert result(table(spark, rows), segment_turns=7) == whole_brute(rows, 7)
+
+
+def rows_of_long_dialogues(rows):
     # System turns open over more than a segment; no number, no dialogue; nobody named.
     rows += [(2, i, "system", f"s{i}") for i in range(150)] + [(2, 150, "ann", "hi"), (2, None, "bob", "end")]
     rows += [(None, i, "system" if i < 3 else "dan" if i < 9 else None, f"n{i}") for i in range(140)]
     rows += [(3, i, None, "x") for i in range(70)] + [(4, 0, "ann", "short")]
-    assert result(table(spark, rows)) == whole_brute(rows)
-    assert result(table(spark, rows), segment_turns=7) == whole_brute(rows, 7)
+    return rows
+
+
+def test_sql_takes_long_dialogues_alike(spark):
+    import duckdb
+    from carelayers.llm import queries
+
+    rows = [(1, i, "ann" if i % 3 else "bob", f"t{i}") for i in range(2, 210)] + [(1, i, "system", "rule") for i in range(2)]
+    rows = rows_of_long_dialogues([(c + 9, *r) for c, *r in rows])
+    connection = duckdb.connect()
+    connection.execute("create table conversations (conv_id bigint, turn int, role varchar, text varchar)")
+    connection.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    cursor = connection.execute(queries.OP9_SQL)
+    names = [c[0] for c in cursor.description]
+    assert names == ["conv_id", "segment", "perspective", "n_turns", "text", "masks"]
+    spans = lambda m: tuple(tuple(map(int, x.split(":"))) for x in m.split(",")) if m else ()
+    assert sorted(str((*r[:5], spans(r[5]))) for r in cursor.fetchall()) == whole_brute(rows)
 
 
 def test_only_built_in_functions(spark, plan):
