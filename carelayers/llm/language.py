@@ -24,9 +24,8 @@ from carelayers.sources.layers import shared_folder
 
 #: Longest context in bytes; a context and its byte fit 32 bits.
 ORDER = 3
-#: Bounds of what is learned from: documents per language, and grams kept per language.
+#: Documents of a language that its tree learns from; all their grams count.
 MAX_DOCS = 1000
-MAX_GRAMS = 100_000
 #: Languages whose trees are one broadcast; more are scored in blocks of so many, one after another.
 LANGUAGES_AT_ONCE = 16
 #: Up to so many ids of documents to learn from are broadcast.
@@ -236,15 +235,16 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     max_docs: int = MAX_DOCS,
-    max_grams: int = MAX_GRAMS,
+    max_grams: int | None = None,
     max_languages: int | None = None,
 ) -> Model | Blocks:
     """Learn one tree per language from at most ``max_docs`` whole texts each.
 
     Takes the rows with the smallest hash of their id, so the choice does not depend on order; rows
     without text, language or id teach nothing. All languages get a tree, unless ``max_languages``
-    asks for those with the most rows only. At most ``max_grams`` grams of a language (the most
-    frequent, then the smallest) and ``LANGUAGES_AT_ONCE`` languages at a time reach the driver.
+    asks for those with the most rows only. All grams of the chosen texts count, unless ``max_grams`` asks
+    for the most frequent ones of a language (then the smallest). ``LANGUAGES_AT_ONCE`` languages at a
+    time reach the driver.
     """
     spark = labelled.sparkSession
     folder = shared_folder(spark, "language")
@@ -270,9 +270,11 @@ def train(
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
     )
-    frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    kept = counts.withColumn("place", F.row_number().over(frequent)).where(F.col("place") <= max_grams)
-    kept = kept.drop("place")
+    kept = counts
+    if max_grams is not None:
+        frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
+        kept = counts.withColumn("place", F.row_number().over(frequent)).where(F.col("place") <= max_grams)
+        kept = kept.drop("place")
     languages = sorted(learned)
     if len(languages) <= LANGUAGES_AT_ONCE:
         return model_of(kept.toPandas())
