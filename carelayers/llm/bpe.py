@@ -29,6 +29,8 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SHORT_WORD = 64
 
 _NEVER = np.iinfo(np.int64).max
+#: So few words are walked one after the other, byte by byte: the last ones are the longest.
+_FEW = 16
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -98,6 +100,7 @@ class Bpe:
         tree = np.array(sorted(children.items()), dtype=np.int64)
         self.edge_keys, self.edge_nodes = tree[:, 0].copy(), tree[:, 1].copy()
         self.token_at = np.array(token_at, dtype=np.int64)
+        self.children, self.token_of_node = children, token_at
 
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a * self.size + b
@@ -142,7 +145,7 @@ class Bpe:
         node, depth = np.zeros_like(at), np.zeros_like(at)
         best, best_len = np.full_like(at, -1), np.zeros_like(at)
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        while word.size:
+        while word.size > _FEW:
             inside = at + depth < end
             keys = node * 256 + data[np.minimum(at + depth, len(data) - 1)]
             edge = np.minimum(np.searchsorted(self.edge_keys, keys), len(self.edge_keys) - 1)
@@ -160,12 +163,32 @@ class Bpe:
                 word, at, end, node, depth, best, best_len = (
                     x[go] for x in (word, at, end, node, depth, best, best_len)
                 )
+        for w, a, e in zip(word.tolist(), at.tolist(), end.tolist()):
+            where, tokens = self._walk(words[w], a - (e - len(words[w])))
+            out.append((np.full(len(where), w), np.array(where) + (e - len(words[w])), np.array(tokens)))
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         word, at, token = (np.concatenate(x) for x in zip(*out))
         order = np.argsort(at, kind="stable")
         return word[order], token[order]
 
+    def _walk(self, word: bytes, at: int) -> tuple[list[int], list[int]]:
+        """Greedy longest tokens of one word from ``at`` on: where they begin, and which they are."""
+        children, token_at = self.children, self.token_of_node
+        where, tokens = [], []
+        while at < len(word):
+            node, best, after = 0, -1, at + 1
+            for i in range(at, len(word)):
+                node = children.get(node * 256 + word[i])
+                if node is None:
+                    break
+                if token_at[node] >= 0:
+                    best, after = token_at[node], i + 1
+            where.append(at)
+            tokens.append(best)
+            at = after
+        return where, tokens
+
     def merge(self, word: bytes) -> list[int]:
         """Exact merging of one word: always the lowest rank, the leftmost of equals."""
         ids = self.byte_id[np.frombuffer(word, dtype=np.uint8)].tolist()

@@ -85,3 +85,20 @@ def test_table(spark, library):
 def test_empty_table(spark):
     docs = document_table(spark, [])
     assert bpe.round_trip(docs, PATH).collect() == [] == bpe.encode(docs, PATH).collect()
+
+
+def test_long_words(library):
+    """Words of many tokens, alone and among many others; time grows with their length."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    table = bpe.Bpe(PATH)
+    long = ["".join(rng.choice(letters) for _ in range(n)) for letters, n in (("abcdefgh", 30_000), ("0123", 20_000), ("é日x", 9_000))]
+    others = ["".join(rng.choice("etaoin") for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    for words in (long, long + others):
+        want = [np.array(library.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in words]
+        assert table.encode_words([w.encode() for w in words]) == want
+    began = time.process_time()
+    table._longest_matches(["".join(rng.choice("abcdefgh") for _ in range(1_000_000)).encode()])
+    assert time.process_time() - began < 20
