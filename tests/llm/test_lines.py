@@ -78,3 +78,39 @@ def test_only_built_in_functions(spark, plan):
 def test_random_tables(spark, drawn):
     rows = [(i, "\n".join(text), None, site) for i, (text, site) in enumerate(drawn)]
     assert run(spark, rows, 2)[0] == brute(rows, 2)
+
+
+def brute_by_row(rows, min_sites):
+    """Each row alone; the first place is an id and a position."""
+    sites, first = defaultdict(set), {}
+    for doc, text, _, site in rows:
+        for pos, line in enumerate(text.split("\n")):
+            if line:
+                sites[line].add(site)
+                first[line] = min(first.get(line, (doc, pos)), (doc, pos))
+    out = []
+    for doc, text, *_ in rows:
+        at = list(enumerate(text.split("\n")))
+        kept = [x for i, x in at if not x or len(sites[x]) < min_sites or first[x] == (doc, i)]
+        out.append((doc, "\n".join(kept), len(at) - len(kept)))
+    return sorted(map(str, out))
+
+
+def test_rows_that_repeat_an_id_lose_only_shared_lines(spark):
+    rows = [(50, "shared\nkeep a", None, "a"), (50, "PRECIOUS LINE\nother", None, "b"), (50, "x\nshared", None, "c")]
+    rows += [(60 + i, f"own {i}\nshared", None, f"s{i}") for i in range(5)]
+    rows += [(50, "shared\nkeep a", None, "a"), (40, "shared", None, "d"), (40, "shared", None, "e")]
+    got, _ = run(spark, rows, 4)
+    assert got == brute_by_row(rows, 4)
+    assert any("PRECIOUS LINE\\nother" in r for r in got)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.lists(st.sampled_from(["", "a", "b", "c"]), max_size=5), st.sampled_from("stuv")), max_size=12))
+def test_random_tables_with_repeated_ids(spark, drawn):
+    """Lines sent to all tasks, and lines joined by a shuffle but for the hottest."""
+    rows = [(i, "\n".join(text), None, site) for i, text, site in drawn]
+    df = document_table(spark, rows)
+    for sent in (lines.SENT_LINES, 1):
+        out = lines.dedup_lines(df, min_sites=2, sent=sent).select("doc_id", "text", "n_removed")
+        assert sorted(map(str, map(tuple, out.collect()))) == brute_by_row(rows, 2)
