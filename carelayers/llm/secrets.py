@@ -7,6 +7,7 @@ import binascii
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,15 +32,26 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
 # Lines may also be broken by escapes, as in JSON: a backslash, or several, and the letter.
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]++|\\++[nr])++)-----END \1-----")
+_PEM = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----"
+    r"((?:(?:\s|\\++[nr])++[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)*+)"
+    r"((?:[A-Za-z0-9+/=\s]++|\\++[nr])++)-----END \1-----"
+)
+_LOCKED = re.compile(r"Proc-Type:\x20*4\x20*,\x20*ENCRYPTED")
+_CIPHER = re.compile(r"DEK-Info:\x20*[A-Za-z0-9-]+\x20*,\x20*((?:[0-9A-Fa-f]{16}){1,2})(?![0-9A-Fa-f])")
 _BREAKS = re.compile(r"\s+|\\+[nr]")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+_DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
+# How the base64 of a JSON object begins: a brace, and a quote, blank or line break.
+_OBJECT64 = ("eyJ", "ey", "ew")
 # Encoded keys begin with a DER sequence (byte 30) or the name of the OpenSSH format.
 _KEY64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nr]))(?:M[A-P]|b3Bl)[A-Za-z0-9+/_-]*+={0,2}")
-_KEY64_LENGTH = 24
 _NEXT64 = re.compile(r"(?:[ \t]*+(?:[\r\n]|\\++[nr]))++[ \t]*+([A-Za-z0-9+/_-]++)")
 _PAD64 = re.compile(r"={0,2}")
-_KEYHEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6f70656e7373682d6b6579|6F70656E7373682D6B6579)[0-9A-Fa-f]{46,}")
+_KEYHEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70)[0-9A-Fa-f]{2,}+")
+_NEXTHEX = re.compile(r"(?:[ \t]*+(?:[\r\n]|\\++[nr]))++[ \t]*+([0-9A-Fa-f]++)")
+_KEY_BYTES = 18
+# Fields of a key that are looked at; no key has more.
+_FIELDS = 16
 _SSH_NAME = b"openssh-key-v1\0"
 
 
@@ -51,7 +63,29 @@ def _decode64(text: str) -> bytes | None:
         return None
 
 
-def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+class _Encoded:
+    """Bytes that are decoded from text where they are looked at: ``size`` from character ``at`` on."""
+
+    def __init__(self, body: str, at: int, size: int, hexadecimal: bool):
+        self.body, self.at, self.size, self.hexadecimal = body, at, size, hexadecimal
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, i: int | slice) -> int | bytes:
+        if isinstance(i, int):
+            return self[i : i + 1][0]
+        start, end, _ = i.indices(self.size)
+        if start >= end:
+            return b""
+        if self.hexadecimal:
+            return bytes.fromhex(self.body[self.at + 2 * start : self.at + 2 * end])
+        first = start // 3
+        part = self.body[self.at + 4 * first : self.at + 4 * -(-end // 3)]
+        return (_decode64(part[:-1] if len(part) % 4 == 1 else part) or b"")[start - 3 * first : end - 3 * first]
+
+
+def _element(data: bytes | _Encoded, at: int, end: int) -> tuple[int, int, int] | None:
     """Tag, start and end of the DER element at ``at``, or None if it does not fit before ``end``."""
     if at + 2 > end:
         return None
@@ -64,12 +98,12 @@ def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + length) if at + length <= end else None
 
 
-def _children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
-    """The elements that fill ``start`` to ``end`` exactly, else None."""
+def _children(data: bytes | _Encoded, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The elements that fill ``start`` to ``end`` exactly, else None; also if they are too many for a key."""
     out = []
     while start < end:
         found = _element(data, start, end)
-        if found is None:
+        if found is None or len(out) == _FIELDS:
             return None
         out.append(found)
         start = found[2]
@@ -80,7 +114,7 @@ def _children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
 
-def is_der_key(data: bytes) -> bool:
+def is_der_key(data: bytes | _Encoded) -> bool:
     """Whether ``data`` is one DER private key: all nested lengths fit, and the fields are a key's.
 
     RSA and DSA (a version and eight or five more integers), EC (version 1, octets), PKCS 8 (version,
@@ -112,9 +146,9 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def is_ssh_key(data: bytes) -> bool:
+def is_ssh_key(data: bytes | _Encoded) -> bool:
     """Whether ``data`` is an OpenSSH private key: cipher, derivation, options, keys, private part."""
-    if not data.startswith(_SSH_NAME):
+    if data[: len(_SSH_NAME)] != _SSH_NAME:
         return False
 
     def take(at: int) -> int | None:
@@ -140,11 +174,11 @@ def is_ssh_key(data: bytes) -> bool:
     return True
 
 
-def _is_key(data: bytes | None) -> bool:
+def _is_key(data: bytes | _Encoded | None) -> bool:
     return data is not None and (is_der_key(data) or is_ssh_key(data))
 
 
-def _wanted(data: bytes) -> int | None:
+def _wanted(data: bytes | _Encoded) -> int | None:
     """Bytes of the key that begins with ``data``, or that are needed to know; None if none begins."""
     if data[0] == 0x30:
         if len(data) < 6:
@@ -170,48 +204,87 @@ def _wanted(data: bytes) -> int | None:
     return at
 
 
-def _wrapped_end(text: str, first: re.Match[str]) -> int | None:
-    """Where the key ends whose first line is ``first`` and whose further lines follow, else None.
+class _Lines:
+    """Encoded lines that follow each other, joined, and where each begins and ends in the text.
 
-    Takes as many lines as the lengths in the key ask for; the last must end where the key does.
+    Keys in them are looked up by their line, so that each line is read once however many begin a key.
     """
-    body, at = first[0], first.end()
-    if body[-1] == "=":
-        return None
-    while True:
-        known = _decode64(body[:-1] if len(body) % 4 == 1 else body)
-        wanted = 1 if not known else _wanted(known)
-        if wanted is None:
-            return None
-        chars = -(-wanted * 4 // 3)
-        if known and len(body) >= chars:
-            break
-        lines, held = [body], len(body)
-        chars = max(chars, 4)
-        while held < chars:
-            line = _NEXT64.match(text, at)
-            if line is None:
-                return None
+
+    def __init__(self, text: str, first: re.Match[str], following: re.Pattern[str]):
+        lines, self.hexadecimal = [first[0]], following is _NEXTHEX
+        self.starts, self.ends = {first.start(): 0}, {len(first[0]): first.end()}
+        held, self.end = len(first[0]), first.end()
+        while line := following.match(text, self.end):
+            self.starts[line.start(1)] = held
             lines.append(line[1])
-            held, at = held + len(line[1]), line.end()
-        body = "".join(lines)
-    if len(body) != chars or len(body) < _KEY64_LENGTH or not _is_key(_decode64(body)):
-        return None
-    return _PAD64.match(text, at).end()
+            held, self.end = held + len(line[1]), line.end()
+            self.ends[held] = self.end
+        self.body = "".join(lines)
+
+    def key_end(self, start: int) -> int | None:
+        """Where in the text the key ends that begins with the line at ``start``; its last line must end there."""
+        at = self.starts[start]
+        chars = len(self.body) - at
+        data = _Encoded(self.body, at, chars // 2 if self.hexadecimal else chars * 3 // 4, self.hexadecimal)
+        wanted = _wanted(data) if len(data) else None
+        if wanted is None or not _KEY_BYTES <= wanted <= len(data):
+            return None
+        end = self.ends.get(at + (2 * wanted if self.hexadecimal else -(-wanted * 4 // 3)))
+        if end is None or not _is_key(_Encoded(self.body, at, wanted, self.hexadecimal)):
+            return None
+        return end
 
 
-def _keys64(text: str, armoured: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
-    """Keys in base64, on one line or, outside of ``armoured`` spans, on several."""
-    past = 0
-    for m in _KEY64.finditer(text):
+def _keys(text: str, pattern: re.Pattern[str], following: re.Pattern[str], kind: str, armoured: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Encoded keys, on one line or, outside of ``armoured`` spans, on several."""
+    past, lines, inside = 0, None, iter(armoured)
+    span = next(inside, None)
+    for m in pattern.finditer(text):
         start, end = m.span()
         if start < past:
             continue
-        if end - start >= _KEY64_LENGTH and _is_key(_decode64(m[0])):
-            yield "key64", start, end
-        elif not any(a <= start < b for a, b in armoured) and (last := _wrapped_end(text, m)) is not None:
-            yield "key64", start, last
+        data = bytes.fromhex(m[0][: len(m[0]) // 2 * 2]) if following is _NEXTHEX else _decode64(m[0])
+        whole = following is not _NEXTHEX or len(m[0]) % 2 == 0
+        if whole and data is not None and len(data) >= _KEY_BYTES and _is_key(data):
+            yield kind, start, end
+            continue
+        while span is not None and span[1] <= start:
+            span = next(inside, None)
+        if m[0][-1] == "=" or (span is not None and span[0] <= start):
+            continue
+        if lines is None or start not in lines.starts:
+            lines = _Lines(text, m, following)
+        last = lines.key_end(start)
+        if last is not None:
             past = last
+            yield kind, start, _PAD64.match(text, last).end() if following is _NEXT64 else last
+
+
+def _armour(text: str) -> Iterator[tuple[str, int, int]]:
+    """Armoured keys. Of one that its header says is encrypted, the cipher's blocks must be whole."""
+    for m in _PEM.finditer(text):
+        body = _decode64(_BREAKS.sub("", m[3]))
+        cipher = _CIPHER.search(m[2]) if _LOCKED.search(m[2]) else None
+        locked = cipher is not None and body and len(body) >= 16 and len(body) % (len(cipher[1]) // 2) == 0
+        if locked or _is_key(body):
+            yield "pem", *m.span()
+
+
+def _tokens(text: str) -> Iterator[tuple[str, int, int]]:
+    """Signed tokens: three parts between dots, the first from where an object may begin in it."""
+    for run in _DOTTED.finditer(text):
+        parts = run[0].split(".")
+        ends = list(accumulate(len(p) + 1 for p in parts))
+        i = 0
+        while i + 2 < len(parts):
+            head, claims = parts[i], parts[i + 1]
+            starts = sorted({at for at in (head.find(o) for o in _OBJECT64) if at >= 0}) if claims else []
+            for at in starts:
+                if is_signed_token(f"{head[at:]}.{claims}.{parts[i + 2]}"):
+                    yield "jwt", run.start() + ends[i] - 1 - len(head) + at, run.start() + ends[i + 2] - 1
+                    i += 2
+                    break
+            i += 1
 
 
 def is_signed_token(token: str) -> bool:
@@ -232,14 +305,11 @@ def find(text: str) -> list[tuple[str, int, int]]:
         spans += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= _ASSIGN_LENGTH]
     spans += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    for m in _PEM.finditer(text):
-        if _is_key(_decode64(_BREAKS.sub("", m[2]))):
-            spans.append(("pem", *m.span()))
-    spans += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
-    spans += _keys64(text, [(a, b) for k, a, b in spans if k == "pem"])
-    for m in _KEYHEX.finditer(text):
-        if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0])):
-            spans.append(("keyhex", *m.span()))
+    spans += (pems := list(_armour(text)))
+    spans += _tokens(text)
+    armoured = [(start, end) for _, start, end in pems]
+    spans += _keys(text, _KEY64, _NEXT64, "key64", armoured)
+    spans += _keys(text, _KEYHEX, _NEXTHEX, "keyhex", armoured)
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
