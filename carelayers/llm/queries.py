@@ -42,17 +42,17 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
 
 OP2_SQL = """
 with whole as (
-    select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    select vec_id, row_number() over () as u, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
     from embeddings
     where vec_id is not null and len(embedding) > 0
       and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
 ), scored as (
-    select q.vec_id as query_id, c.vec_id as vec_id,
+    select q.vec_id as query_id, q.u as u, c.vec_id as vec_id,
            cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
-    from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    from whole q join whole c on q.u <> c.u and len(q.v) = len(c.v)
     where q.vec_id % 50 = 0
 )
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+select query_id, cast(row_number() over (partition by u order by score desc, vec_id) as integer) as rank,
        vec_id, score
 from scored qualify rank <= 5
 """

@@ -126,17 +126,21 @@ def best(slices: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndarray:
     return surely | equal
 
 
-def _search(index: Index, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """``(query_id, vec_id, score)`` of each query's best rows in the block, ties by smaller id."""
+def _search(index: Index, keys: np.ndarray, ids: np.ndarray, asking: tuple[np.ndarray, np.ndarray], queries: np.ndarray, k: int):
+    """``(query, query_id, vec_id, score)`` of each query's best rows in the block, ties by smaller id.
+
+    ``keys`` number the rows; ``asking`` are numbers and ids of the queries' rows.
+    """
+    query_keys, query_ids = asking
     queries_now = max(1, min(len(queries), 64))
     step = max(1, _WORKING_BYTES // 8 // queries_now)
-    place = {int(v): i for i, v in enumerate(ids)}
+    place = {int(v): i for i, v in enumerate(keys)}
     for q0 in range(0, len(queries), queries_now):
-        some, some_ids = queries[q0 : q0 + queries_now], query_ids[q0 : q0 + queries_now]
+        some, these = queries[q0 : q0 + queries_now], slice(q0, q0 + queries_now)
         parts = [index.scores(some, slice(w, w + step)) for w in range(0, index.words, step)]
         slices = [np.concatenate([p[i] for p in parts], axis=1) for i in range(len(parts[0]))]
         allowed = np.repeat(index.live[None, :], len(some), axis=0)
-        for i, v in enumerate(some_ids.tolist()):
+        for i, v in enumerate(query_keys[these].tolist()):
             if (at := place.get(v)) is not None:  # a query is no answer to itself
                 allowed[i, at // 64] &= ~(np.uint64(1) << np.uint64(at % 64))
         found = best(slices, allowed, k)
@@ -152,33 +156,34 @@ def _search(index: Index, ids: np.ndarray, query_ids: np.ndarray, queries: np.nd
         q, row, score = q[order], row[order], score[order]
         nth = np.arange(len(q)) - np.searchsorted(q, q)
         keep = nth < k
-        yield some_ids[q[keep]], ids[row[keep]], score[keep]
+        yield query_keys[these][q[keep]], query_ids[these][q[keep]], ids[row[keep]], score[keep]
 
 
-def _blocked(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def _blocked(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Rows ``(key, vec_id, values)`` gathered into blocks of at most ``rows`` of one partition."""
-    ids, values, held = [], [], 0
+    keys, ids, values, held = [], [], [], 0
 
     def block():
-        return np.concatenate(ids), np.concatenate(values)
+        return np.concatenate(keys), np.concatenate(ids), np.concatenate(values)
 
     for batch in batches:
         at = 0
         while at < batch.num_rows:
             part = batch.slice(at, rows - held)
             at, held = at + part.num_rows, held + part.num_rows
-            ids.append(part.column(0).to_numpy())
-            values.append(part.column(1).flatten().to_numpy().reshape(part.num_rows, -1))
+            keys.append(part.column(0).to_numpy())
+            ids.append(part.column(1).to_numpy())
+            values.append(part.column(2).flatten().to_numpy().reshape(part.num_rows, -1))
             if held == rows:
                 yield block()
-                ids, values, held = [], [], 0
+                keys, ids, values, held = [], [], [], 0
     if held:
         yield block()
 
 
-_PACKED = "dims bigint, kind string, ids binary, cells binary"
-_NAMES = ["dims", "kind", "ids", "cells"]
-_FOUND = ["query_id", "vec_id", "score"]
+_PACKED = "dims bigint, kind string, keys binary, ids binary, cells binary"
+_NAMES = ["dims", "kind", "keys", "ids", "cells"]
+_FOUND = ["query", "query_id", "vec_id", "score"]
 
 
 def _narrowest(values: np.ndarray) -> str:
@@ -189,17 +194,17 @@ def _narrowest(values: np.ndarray) -> str:
 
 def _pack(rows: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, values in _blocked(batches, rows):
+        for keys, ids, values in _blocked(batches, rows):
             kind = _narrowest(values)
-            row = [values.shape[1], kind, ids.astype("<i8").tobytes(), values.astype(kind).tobytes()]
+            row = [values.shape[1], kind, *(x.astype("<i8").tobytes() for x in (keys, ids)), values.astype(kind).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([c]) for c in row], names=_NAMES)
 
     return run
 
 
-def _unpack(ids: bytes, cells: bytes, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.frombuffer(ids, dtype="<i8")
-    return rows, np.frombuffer(cells, dtype=kind).astype(np.int64).reshape(len(rows), -1)
+def _unpack(kind: str, keys: bytes, ids: bytes, cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.frombuffer(keys, dtype="<i8")
+    return rows, np.frombuffer(ids, dtype="<i8"), np.frombuffer(cells, dtype=kind).astype(np.int64).reshape(len(rows), -1)
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
@@ -225,9 +230,9 @@ def top_k(
     """``(query_id, rank, vec_id, score)``: the ``k`` best inner products of each query, ties by id.
 
     Queries are the rows whose id is divisible by ``every``; candidates all rows but the query's own.
-    Unusable vectors (see ``quantised``) take no part; vectors only meet vectors of their length. Of
-    rows that repeat an id, one counts: the least by its components. Fewer than ``k`` candidates give
-    fewer rows, none gives none.
+    Unusable vectors (see ``quantised``) take no part; vectors only meet vectors of their length. Rows
+    that repeat an id are queries and candidates of their own, each with ranks from 1. Fewer than ``k``
+    candidates give fewer rows, none gives none.
 
     Rows are written once as blocks, any ``BLOCK_ROWS`` of a partition, so no key decides where a row
     goes. Each task takes one index block and up to ``BLOCKS_A_TASK`` query blocks and gives ``k``
@@ -236,13 +241,12 @@ def top_k(
     spark = df.sparkSession
     folder = shared_folder(spark, "topk")
     rows = quantised(df, id_col, vector_col)
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    rows.write.parquet(f"{folder}/rows")
+    rows.withColumn("key", F.monotonically_increasing_id()).write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows").withColumn("dims", F.size("v"))
 
     def blocks(part: DataFrame, name: str, size: int) -> DataFrame:
         packed = part.repartition(max(1, -(-part.count() // size))).sortWithinPartitions("dims")
-        packed = packed.select("vec_id", "v").mapInArrow(_pack_by_length(size), _PACKED)
+        packed = packed.select("key", "vec_id", "v").mapInArrow(_pack_by_length(size), _PACKED)
         packed.withColumn("block", F.monotonically_increasing_id()).write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
@@ -254,29 +258,28 @@ def top_k(
     lane = F.pmod(F.xxhash64("block"), F.lit(n_lanes)).cast("int").alias("lane")
     lanes = F.explode(F.sequence(F.lit(0), F.lit(n_lanes - 1))).alias("lane")
     targets = index.select("dims", F.col("block").alias("i_block"))
-    held = index.select(F.col("block").alias("i_block"), "kind", "ids", "cells", lanes)
-    queries = asked.select(
-        "dims", lane, F.col("kind").alias("q_kind"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells")
-    )
+    held = index.select(F.col("block").alias("i_block"), "kind", "keys", "ids", "cells", lanes)
+    packed = ["kind", "keys", "ids", "cells"]
+    queries = asked.select("dims", lane, *[F.col(c).alias(f"q_{c}") for c in packed])
     queries = queries.join(targets, "dims").drop("dims").repartition(tasks, "i_block", "lane")
     # A merge join, as it brings the pairs of one index block one after the other.
     met = held.repartition(tasks, "i_block", "lane").hint("merge").join(queries, ["i_block", "lane"])
-    met = met.select("i_block", "kind", "ids", "cells", "q_kind", "q_ids", "q_cells")
+    met = met.select("i_block", *packed, *[f"q_{c}" for c in packed])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
         for batch in batches:
             for i in range(batch.num_rows):
-                block, kind, *rest = (c[i].as_py() for c in batch.columns)
+                block, *rest = (c[i].as_py() for c in batch.columns)
                 if block != now:
-                    now, (ids, values) = block, _unpack(rest[0], rest[1], kind)
+                    now, (keys, ids, values) = block, _unpack(*rest[:4])
                     built = Index(values)
-                q_ids, asking = _unpack(rest[3], rest[4], rest[2])
-                for q, v, s in _search(built, ids, q_ids, asking, k):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q, v, s)], names=_FOUND)
+                *asking, queries_here = _unpack(*rest[4:])
+                for found in _search(built, keys, ids, asking, queries_here, k):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=_FOUND)
 
     found = met.mapInArrow(run, ", ".join(f"{c} bigint" for c in _FOUND))
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -288,7 +291,7 @@ def _pack_by_length(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs():
             for batch in batches:
-                lengths = batch.column(1).value_lengths().to_numpy()
+                lengths = batch.column(2).value_lengths().to_numpy()
                 cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), batch.num_rows]
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     if b > a:

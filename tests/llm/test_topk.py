@@ -52,9 +52,12 @@ def test_odd_rows(spark):
         (2, [1.0, 0.0]), (None, [1.0, 1.0]), (300, [1.0, 0.0, 0.0]), (0, [0.75, 0.0]), (-50, [0.0, 0.0]),
     ]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").selectExpr("*", "1 as v", "2 as dims", "3 as block")
-    # Of the two rows with id 0 the lesser counts; vectors of another length do not meet.
+    # Both rows with id 0 ask and answer, also each other; vectors of another length do not meet.
     assert result(df) == {
-        (0, 1, 1, 128 * 256), (0, 2, 2, 128 * 256), (0, 3, -50, 0), (-50, 1, 0, 0), (-50, 2, 1, 0), (-50, 3, 2, 0),
+        (0, 1, 1, 128 * 256), (0, 2, 2, 128 * 256), (0, 3, 0, 128 * 192), (0, 4, -50, 0),
+        (0, 1, 1, 192 * 256), (0, 2, 2, 192 * 256),
+        (-50, 1, 0, 0), (-50, 2, 0, 0), (-50, 3, 1, 0), (-50, 4, 2, 0),
     }
     assert result(df.limit(0)) == set()
-    assert result(df.where("vec_id = 0")) == set()
+    assert result(df.where("vec_id = 0")) == {(0, 1, 0, 128 * 192)}
+    assert result(df.where("vec_id = -50")) == set()
