@@ -40,7 +40,8 @@ _PEM = re.compile(
 _LOCKED = re.compile(r"Proc-Type:\x20*4\x20*,\x20*ENCRYPTED")
 _CIPHER = re.compile(r"DEK-Info:\x20*[A-Za-z0-9-]+\x20*,\x20*((?:[0-9A-Fa-f]{16}){1,2})(?![0-9A-Fa-f])")
 _BREAKS = re.compile(r"\s+|\\+[nr]")
-_DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
+# Nothing shorter can be a header with an algorithm, claims and two dots.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]{19,}+")
 # How the base64 of a JSON object begins: a brace, and a quote, blank or line break.
 _OBJECT64 = ("eyJ", "ey", "ew")
 # Encoded keys begin with a DER sequence (byte 30) or the name of the OpenSSH format.
