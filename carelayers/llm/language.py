@@ -34,7 +34,10 @@ UNDETERMINED = "und"
 #: Parts of a language that are looked through side by side for the documents to learn from.
 PARTS = 64
 
-_STEP = 1 << 20
+# Bytes of texts that are scored at once, and their grams looked up at once; a byte takes about 20 bytes of
+# a worker's memory meanwhile, and every core has a worker.
+_SCORED_BYTES = 1 << 20
+_STEP = 1 << 18
 # Bytes of a task's rows that meet a block of languages at once.
 _GATHERED_BYTES = 64 << 20
 _START = b"\n" * ORDER
@@ -131,7 +134,7 @@ class Model:
         """Bits of every text under every language, shape (texts, languages)."""
         sizes = np.array([len(d) for d in docs])
         data = np.frombuffer(b"".join(_START + d for d in docs), dtype=np.uint8)
-        owner = np.repeat(np.arange(len(docs)), sizes + ORDER)[ORDER:]
+        owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes + ORDER)[ORDER:]
         inside = np.ones(len(owner), dtype=bool)
         for back in range(ORDER):  # what stands before a text costs nothing
             inside[np.cumsum(sizes + ORDER)[:-1] - back - 1] = False
@@ -305,7 +308,7 @@ def identify(
     lettered = whole.select("*", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _gathered(steps(batches), _GATHERED_BYTES if many else 0):
+        for group in _gathered(steps(batches, _SCORED_BYTES), _GATHERED_BYTES if many else 0):
             having = [np.array(part.column(part.num_columns - 1).to_pylist(), dtype=bool) for part in group]
             pieces = [
                 [t.encode() for t in part.column(text_at).filter(pa.array(has)).to_pylist()]

@@ -137,3 +137,18 @@ def test_every_label_gets_a_tree(spark, monkeypatch):
 def test_a_bound_on_labels_counts_all_rows(spark):
     rows = [(i, "some words", "a" if i == 0 else "z", None) for i in range(4)]
     assert language.train(document_table(spark, rows), max_docs=1, max_languages=1).languages == ["z"]
+
+
+def test_texts_that_are_scored_at_once_take_little_memory():
+    """Every core has a worker, so what one step holds counts as often as there are cores."""
+    import tracemalloc
+
+    text = bytes(range(97, 123)) * 40_000
+    codes, n = np.unique(language.gram_codes(np.frombuffer(text, dtype=np.uint8)), return_counts=True)
+    model = language.model_of(pd.DataFrame({"lang": "x", "code": codes.astype(np.int64), "n": n}))
+    model.code_lengths([b"abc"])
+    tracemalloc.start()
+    model.code_lengths([text[i : i + 1000] for i in range(0, len(text), 1000)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28 << 20 and language._SCORED_BYTES <= len(text) + (1 << 20)
