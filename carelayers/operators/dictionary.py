@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelayers.operators.groups import bucket_counts, bucket_of
 from carelayers.operators.ranking import first_within
 
 # A dictionary up to this many bytes (as text, before deduplication) may be broadcast.
@@ -45,12 +46,20 @@ def _shuffled_left_join(facts: DataFrame, side: DataFrame, key: str) -> DataFram
 
     Every key that more than one in ``HOT_SHARE`` facts have, as counted, gets one salt for each such
     share; the dictionary rows of that key are repeated for its salts. There are fewer than
-    ``HOT_SHARE`` such keys at any size. Facts without a key meet nothing and are not shuffled. The
-    salt depends on the input task and the row, so a task that runs again gives the same one.
+    ``HOT_SHARE`` such keys at any size. Facts are counted by buckets of keys first, and only keys of
+    buckets with such a share one by one; without any, nothing is salted. Facts without a key meet nothing
+    and are not shuffled. The salt depends on the input task and the row, so a task that runs again gives
+    the same one.
     """
     keyed = facts.where(F.col(key).isNotNull())
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = keyed.count()
+    unkeyed = facts.where(F.col(key).isNull())
+    buckets = bucket_counts(keyed, [key])
+    total = sum(buckets.values())
+    large = [b for b, n in buckets.items() if n * HOT_SHARE > total]
+    if not large:
+        return keyed.join(side, key, "left").unionByName(unkeyed, allowMissingColumns=True)
+    some = keyed.where(bucket_of([key]).isin(large))
+    counts = some.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     salts = F.ceil(F.col("__n") * HOT_SHARE / F.lit(max(1, total))).cast("int").alias("__salts")
     hot = F.broadcast(counts.where(F.col("__n") * HOT_SHARE > total).select(key, salts))
     n = F.coalesce(F.col("__salts"), F.lit(1))
@@ -60,7 +69,7 @@ def _shuffled_left_join(facts: DataFrame, side: DataFrame, key: str) -> DataFram
     repeated = side.where(F.col(key).isNotNull()).join(hot, key, "left")
     repeated = repeated.withColumn(_SALT, every).drop("__salts")
     met = salted.join(repeated, [key, _SALT], "left").drop(_SALT)
-    return met.unionByName(facts.where(F.col(key).isNull()), allowMissingColumns=True)
+    return met.unionByName(unkeyed, allowMissingColumns=True)
 
 
 def enrich(
@@ -72,18 +81,22 @@ def enrich(
     dedup: bool = True,
     order: Sequence[str] = (),
     max_bytes: int = BROADCAST_BYTES,
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Left join of ``facts`` with ``dim`` on the shared column ``key``, which comes first.
 
     The dictionary is sent to every executor only if its measured size allows; beyond that both
     sides are shuffled. Facts without a match keep NULLs. With ``dedup=False`` a repeated key gives
-    one row per dictionary entry.
+    one row per dictionary entry. ``derived`` columns are added to the rows that are left of the
+    dictionary, so they are not computed to measure it.
     """
     columns = [c for c in (dim_columns or dim.columns) if c != key]
     side = dim.select(key, *columns)
     small = text_bytes(side) <= max_bytes
     if dedup:
         side = one_per_key(side, key, order)
+    if derived:
+        side = side.withColumns(dict(derived))
     if small:
         return facts.join(F.broadcast(side), key, "left")
     return _shuffled_left_join(facts, side, key)

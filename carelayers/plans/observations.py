@@ -15,6 +15,7 @@ from carelayers.functions import (
 from carelayers.operators.clean import project, tag, typed_nulls
 from carelayers.operators.dictionary import BROADCAST_BYTES, enrich
 from carelayers.operators.fuse import fuse
+from carelayers.operators.groups import for_repeated
 from carelayers.operators.ranking import first_within
 
 # Output name -> input column.
@@ -113,19 +114,17 @@ def chart_events_named(
             "chart_time": parse_timestamp(F.col("chart_time")),
             "store_time": parse_timestamp(F.col("store_time")),
             "value_num": safe_double(F.col("value_num")),
-            "normalized_unit": clean_text(F.col("value_unit")),
         }
     )
-    items = project(d_items, CHART_ITEM).withColumns(
-        {
-            "normalized_label": clean_text(F.col("chart_label")),
-            "__clean_unit": clean_text(F.col("dictionary_unit")),
-        }
-    )
-    named = enrich(events, items, "item_id", max_bytes=max_bytes).withColumns(
+    cleaned = {
+        "normalized_label": clean_text(F.col("chart_label")),
+        "__clean_unit": clean_text(F.col("dictionary_unit")),
+    }
+    items = project(d_items, CHART_ITEM)
+    named = enrich(events, items, "item_id", max_bytes=max_bytes, derived=cleaned).withColumns(
         {
             "value_unit": F.coalesce("value_unit", "dictionary_unit"),
-            "normalized_unit": F.coalesce("normalized_unit", "__clean_unit"),
+            "normalized_unit": F.coalesce(clean_text(F.col("value_unit")), "__clean_unit"),
         }
     )
     return named.select(*CHART_NAMED_COLUMNS)
@@ -139,13 +138,12 @@ def lab_events_named(
         {
             "chart_time": parse_timestamp(F.col("chart_time")),
             "value_num": safe_double(F.col("value_num")),
-            "normalized_unit": clean_text(F.col("value_unit")),
         }
     )
-    items = project(d_labitems, LAB_ITEM).withColumn(
-        "normalized_label", clean_text(F.col("lab_label"))
-    )
-    named = enrich(events, items, "item_id", max_bytes=max_bytes)
+    cleaned = {"normalized_label": clean_text(F.col("lab_label"))}
+    items = project(d_labitems, LAB_ITEM)
+    named = enrich(events, items, "item_id", max_bytes=max_bytes, derived=cleaned)
+    named = named.withColumn("normalized_unit", clean_text(F.col("value_unit")))
     return named.select(*LAB_NAMED_COLUMNS)
 
 
@@ -200,5 +198,18 @@ def observations(charts: DataFrame, labs: DataFrame) -> DataFrame:
 
 
 def clinical_observation(charts: DataFrame, labs: DataFrame) -> DataFrame:
-    """One row per observation id; of rows that share one, the first by all other columns."""
-    return first_within(observations(charts, labs), ["observation_id"], [])
+    """One row per observation id; of rows that share one, the first by all other columns.
+
+    Ids are looked through first, so rows whose id is no other row's are not shuffled.
+    """
+    keys = ["observation_id"]
+    return for_repeated(observations(charts, labs), keys, lambda rows: first_within(rows, keys, []))
+
+
+def observation_sources(charts: DataFrame, labs: DataFrame) -> DataFrame:
+    """Source table and id of the rows of ``clinical_observation``, without carrying the other columns.
+
+    The first row by all columns has the first source table, which leads them.
+    """
+    rows = observations(charts, labs).select("source_table", "observation_id")
+    return first_within(rows, ["observation_id"], ["source_table"])

@@ -78,3 +78,18 @@ def test_measured_size_grows_with_the_text(spark, dim):
     assert text_bytes(dim.where("false")) == 0
     long = dim.withColumn("label", F.repeat(F.lit("é"), 1000))
     assert text_bytes(long) > text_bytes(dim) + 5 * 1900
+
+
+def test_nothing_is_salted_without_a_big_code(spark, dim, plan):
+    """Of 4000 codes none has one in 1000 facts more than its share, so keys are not counted one by one."""
+    even = spark.range(0, 8000, 1, 8).selectExpr("id", "cast(id % 4000 as string) as code")
+    joined = enrich(even, dim, "code", max_bytes=0)
+    assert "__salt" not in joined._jdf.queryExecution().logical().toString()
+    assert joined.count() == 8000 and joined.where("label is not null").count() == 4
+
+
+def test_derived_columns_come_after_the_choice(spark, facts, dim, rows):
+    derived = {"loud": F.upper("label")}
+    for limit in (10**6, 0):
+        out = enrich(facts, dim, "code", max_bytes=limit, derived=derived)
+        assert {(r.code, r.loud) for r in out.collect()} == {("1", "A"), ("2", "Z"), ("9", None), (None, None)}
