@@ -36,14 +36,14 @@ def read_raw(
     return df.repartition(partitions) if partitions else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan has fewer pieces than there are cores, else ``df``.
+def spread(df: DataFrame, pieces: int | None = None) -> DataFrame:
+    """Rows over ``pieces`` tasks (by default all cores) when the scan has fewer, else ``df``.
 
     For costly row-wise work on a file that cannot be split: one gzip file, or Parquet with one
     row group. A table of many pieces is not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    pieces = pieces or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(pieces) if df.rdd.getNumPartitions() < pieces else df
 
 
 def first_rows(df: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
@@ -61,8 +61,8 @@ class RawFolder(Mapping):
     """A folder of CSV tables as ``{table: DataFrame}``, each read when it is asked for.
 
     ``sample`` above 0 takes that many rows of every table not named in ``whole``. A gzip file cannot
-    be split, so its rows are spread over ``pieces`` tasks (by default as many as the session runs at
-    once) right after the scan.
+    be split, so the rows of a table in fewer files are spread over ``pieces`` tasks (by default as many as
+    the session runs at once) right after the scan.
     """
 
     def __init__(
@@ -89,7 +89,7 @@ class RawFolder(Mapping):
             raise KeyError(table)
         df = read_raw(self.spark, self.path(table), table=table, infer=self.infer)
         df = df if table in self.whole else first_rows(df, self.sample)
-        return df if table in self.plain else df.repartition(self.pieces)
+        return df if table in self.plain else spread(df, self.pieces)
 
     def __iter__(self) -> Iterator[str]:
         return iter(SCHEMAS)
