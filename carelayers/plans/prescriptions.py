@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from carelayers.functions import dose_numeric, duration_hours, upper_trim
 from carelayers.operators.clean import require_not_null
+from carelayers.operators.fuse import fuse
+from carelayers.operators.groups import bucket_counts, bucket_of, for_repeated
 from carelayers.operators.repeats import distinct_rows
 from carelayers.operators.rollup import rollup
 
@@ -19,6 +21,12 @@ REPRESENTATIVES = [
     "MEDICATION_CODE", "DRUG_TYPE", "ADMIN_ROUTE", "DOSE_UNIT_RX", "FORM_UNIT_DISP",
     "PROD_STRENGTH",
 ]
+# What the statistics and the order of representatives use.
+ROLLED_UP = ["ROW_ID", "ICUSTAY_ID", "DOSE_NUMERIC", "DURATION_HOURS", "STARTDATE", "ENDDATE"]
+#: Tables of up to so many rows combine before the shuffle, whatever their groups are.
+SMALL_TABLE = 1_000_000
+#: Buckets of groups with up to so many rows, or one in ``LARGE_SHARE`` of all, are not large.
+SMALL_BUCKET, LARGE_SHARE = 10_000, 1000
 
 
 def medication_name() -> Column:
@@ -31,7 +39,8 @@ def medication_code() -> Column:
 
 
 def silver_prescriptions(bronze: DataFrame) -> DataFrame:
-    rows = distinct_rows(require_not_null(bronze, PRESCRIPTION_KEYS))
+    """Prescriptions with every key, once each; rows that no other equals are not shuffled."""
+    rows = for_repeated(require_not_null(bronze, PRESCRIPTION_KEYS), bronze.columns, distinct_rows)
     return rows.withColumns(
         {
             "MEDICATION_NAME": medication_name(),
@@ -43,8 +52,7 @@ def silver_prescriptions(bronze: DataFrame) -> DataFrame:
     )
 
 
-def gold_prescriptions(silver: DataFrame) -> DataFrame:
-    """One row per patient, admission and medication; representatives from the earliest one."""
+def _rolled_up(silver: DataFrame) -> DataFrame:
     statistics = {
         "ICU_STAY_COUNT": F.count_distinct("ICUSTAY_ID"),
         "AVG_DOSE": F.avg("DOSE_NUMERIC"),
@@ -63,3 +71,22 @@ def gold_prescriptions(silver: DataFrame) -> DataFrame:
         "PRESCRIPTION_COUNT",
         statistics,
     )
+
+
+def gold_prescriptions(silver: DataFrame) -> DataFrame:
+    """One row per patient, admission and medication; representatives from the earliest one.
+
+    Rows are counted by buckets of groups first. In a large table, those of buckets with at most
+    ``SMALL_BUCKET`` rows, or one in ``LARGE_SHARE``, are shuffled once as they are, by group, rather than twice as the state of all
+    aggregates; others combine before the shuffle, and stays are counted by stay, as a group may be large.
+    """
+    buckets = bucket_counts(silver, MEDICATION_EDGE)
+    if sum(buckets.values()) <= SMALL_TABLE:
+        return _rolled_up(silver)
+    columns = list(dict.fromkeys([*MEDICATION_EDGE, *REPRESENTATIVES, *ROLLED_UP]))
+    limit = max(SMALL_BUCKET, sum(buckets.values()) // LARGE_SHARE)
+    large = [b for b, n in buckets.items() if n > limit]
+    here = bucket_of(MEDICATION_EDGE)
+    rest = silver.where(~here.isin(large)) if large else silver
+    done = _rolled_up(rest.select(*columns).repartition(*MEDICATION_EDGE))
+    return fuse([done, _rolled_up(silver.where(here.isin(large)))]) if large else done
