@@ -7,7 +7,7 @@ from carelayers.functions.convert import (
     safe_double,
     safe_long,
 )
-from carelayers.functions.identity import event_flag, observation_id
+from carelayers.functions.identity import event_flag, observation_id, observation_parts
 from carelayers.functions.text import clean_text, normalize_title, remap, upper_trim
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "event_flag",
     "normalize_title",
     "observation_id",
+    "observation_parts",
     "parse_timestamp",
     "remap",
     "safe_double",

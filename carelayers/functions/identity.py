@@ -15,12 +15,16 @@ FLAG_SEPARATOR = "|"
 
 def utc_text(time: Column) -> Column:
     """A point in time as ``yyyy-MM-dd HH:mm:ss``, with a fraction if it has one, in UTC."""
-    seconds = F.unix_micros(time.cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    since = F.expr("interval '0.000001' second") * F.unix_micros(time.cast("timestamp"))
     return (epoch + since).cast("string")
 
 
+def _untimed(source: Column, row: Column, subject: Column, admission: Column, item: Column) -> Column:
+    known = (source, row, subject, F.coalesce(admission, F.lit(NO_ADMISSION)), F.coalesce(item, F.lit(NO_ITEM)))
+    return F.concat_ws(ID_SEPARATOR, *known)
+
+
 def observation_id(
     source: Column, row: Column, subject: Column, admission: Column, item: Column, time: Column
 ) -> Column:
@@ -29,15 +33,18 @@ def observation_id(
     A NULL ``source``, ``row`` or ``subject`` is left out of the text, as ``concat_ws`` does.
     The time enters as its UTC text, whatever the time zone of the session.
     """
-    parts = [
-        source,
-        row,
-        subject,
-        F.coalesce(admission, F.lit(NO_ADMISSION)),
-        F.coalesce(item, F.lit(NO_ITEM)),
-        F.coalesce(utc_text(time), F.lit(NO_TIME)),
-    ]
-    return F.sha2(F.concat_ws(ID_SEPARATOR, *parts), 256)
+    untimed = _untimed(source, row, subject, admission, item)
+    return F.sha2(F.concat_ws(ID_SEPARATOR, untimed, F.coalesce(utc_text(time), F.lit(NO_TIME))), 256)
+
+
+def observation_parts(
+    source: Column, row: Column, subject: Column, admission: Column, item: Column, time: Column
+) -> list[Column]:
+    """What is equal for equal observation ids and cheaper to make: the text before the time, and the time.
+
+    No time has the separator in its text, so equal texts agree on both.
+    """
+    return [_untimed(source, row, subject, admission, item), F.unix_micros(time.cast("timestamp"))]
 
 
 def event_flag(**flags: Column) -> Column:

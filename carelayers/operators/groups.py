@@ -32,15 +32,21 @@ def bucket_counts(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
     return dict(zip(table["b"].to_pylist(), table["n"].to_pylist()))
 
 
-def for_repeated(df: DataFrame, keys: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def for_repeated(
+    df: DataFrame,
+    keys: Sequence[str],
+    step: Callable[[DataFrame], DataFrame],
+    same: Sequence[Column] | None = None,
+) -> DataFrame:
     """``step`` over the rows of groups with more than one row; all others stay as and where they are.
 
     For steps that leave a row alone in its group unchanged and keep the columns. The hashes of repeated
     groups are written to the shared folder and counted: few go to all tasks, with more of them than
-    ``FEW_REPEATED`` all rows take the step.
+    ``FEW_REPEATED`` all rows take the step. ``same`` is hashed instead of costly ``keys``; it must be equal
+    in all rows of a group.
     """
     spark, folder = df.sparkSession, shared_folder(df.sparkSession, "repeated")
-    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    hashed = df.withColumn(_HASH, F.xxhash64(*(same or keys)))
     sizes = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("__n"))
     sizes.where("__n > 1").select(_HASH).write.parquet(folder)
     repeated = spark.read.parquet(folder)

@@ -9,6 +9,7 @@ from carelayers.functions import (
     clean_text,
     event_flag,
     observation_id,
+    observation_parts,
     parse_timestamp,
     safe_double,
 )
@@ -101,6 +102,9 @@ OBSERVATION_COLUMNS = [
     "value_text", "value_num", "value_unit", "normalized_unit", "event_flag",
 ]
 
+# What identifies an observation.
+IDENTITY = ["source_table", "source_row_id", "subject_id", "hadm_id", "item_id", "event_time"]
+
 
 def chart_events_named(
     chartevents: DataFrame, d_items: DataFrame, max_bytes: int = BROADCAST_BYTES
@@ -193,17 +197,17 @@ def observations(charts: DataFrame, labs: DataFrame) -> DataFrame:
     chart = tag(chart, source_table="chartevents", item_type="chart")
     lab = tag(lab, source_table="labevents", item_type="lab")
     both = fuse([side.select(*OBSERVATION_COLUMNS) for side in (chart, lab)])
-    identity = ("source_table", "source_row_id", "subject_id", "hadm_id", "item_id", "event_time")
-    return both.withColumn("observation_id", observation_id(*[F.col(c) for c in identity]))
+    return both.withColumn("observation_id", observation_id(*[F.col(c) for c in IDENTITY]))
 
 
 def clinical_observation(charts: DataFrame, labs: DataFrame) -> DataFrame:
     """One row per observation id; of rows that share one, the first by all other columns.
 
-    Ids are looked through first, so rows whose id is no other row's are not shuffled.
+    Ids are looked through first, by what they are made of, so rows whose id is no other row's are not shuffled.
     """
     keys = ["observation_id"]
-    return for_repeated(observations(charts, labs), keys, lambda rows: first_within(rows, keys, []))
+    parts = observation_parts(*[F.col(c) for c in IDENTITY])
+    return for_repeated(observations(charts, labs), keys, lambda rows: first_within(rows, keys, []), parts)
 
 
 def observation_sources(charts: DataFrame, labs: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelayers.functions import dose_numeric, duration_hours, upper_trim
@@ -52,9 +52,9 @@ def silver_prescriptions(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _rolled_up(silver: DataFrame) -> DataFrame:
+def _rolled_up(silver: DataFrame, stays: Column | None = None) -> DataFrame:
     statistics = {
-        "ICU_STAY_COUNT": F.count_distinct("ICUSTAY_ID"),
+        "ICU_STAY_COUNT": F.count_distinct("ICUSTAY_ID") if stays is None else stays,
         "AVG_DOSE": F.avg("DOSE_NUMERIC"),
         "MAX_DOSE": F.max("DOSE_NUMERIC"),
         "MIN_DOSE": F.min("DOSE_NUMERIC"),
@@ -88,5 +88,10 @@ def gold_prescriptions(silver: DataFrame) -> DataFrame:
     large = [b for b, n in buckets.items() if n > limit]
     here = bucket_of(MEDICATION_EDGE)
     rest = silver.where(~here.isin(large)) if large else silver
-    done = _rolled_up(rest.select(*columns).repartition(*MEDICATION_EDGE))
+    # Of the rows of one stay only the first is counted: rows are sorted for that once, and combined once,
+    # where a distinct count combines them by stay first.
+    stay = Window.partitionBy(*MEDICATION_EDGE, "ICUSTAY_ID").orderBy("ICUSTAY_ID")
+    new = (F.row_number().over(stay) == 1) & F.col("ICUSTAY_ID").isNotNull()
+    rest = rest.select(*columns).repartition(*MEDICATION_EDGE).withColumn("__new", new)
+    done = _rolled_up(rest, F.count_if("__new"))
     return fuse([done, _rolled_up(silver.where(here.isin(large)))]) if large else done

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from carelayers.operators.clean import mostly_null
@@ -105,10 +107,18 @@ PLANS: dict[str, TablePlan] = {
 }
 
 
+#: Results written at the same time: the jobs of one fill the cores that the end of another's leaves idle.
+AT_ONCE = 4
+
+
 def _result_layer(name: str) -> str | None:
     return None if PLANS[name].plain else "gold"
 
 
+def _tables_of(name: str) -> set[str]:
+    return {name, *PLANS[name].raw, *PLANS[name].after}
+
+
 def run_table(
     spark: SparkSession,
     name: str,
@@ -152,11 +162,14 @@ def run_tables(
     partitions: int | None = None,
     dictionary_partitions: int | None = None,
 ) -> DataFrame:
-    """Write the chosen results (all by default) in order; return the rows of every layer.
+    """Write the chosen results (all by default); return the rows of every layer, in order.
 
     An unknown name is refused before anything is written. A result built on other results
-    expects them below ``root``, written now or earlier. ``partitions`` fixes the number of files
-    of each table, ``dictionary_partitions`` that of dictionaries; by default Spark decides.
+    expects them below ``root``, written now or earlier. Up to ``AT_ONCE`` results are written at the
+    same time, but one that reads or writes what another does waits for the one named first. If one
+    fails, those not begun are left out.
+    ``partitions`` fixes the number of files of each table, ``dictionary_partitions`` that of
+    dictionaries; by default Spark decides.
     """
     chosen = list(PLANS) if tables is None else list(tables)
     unknown = [name for name in chosen if name not in PLANS]
@@ -166,5 +179,19 @@ def run_tables(
     def files(table: str) -> int | None:
         return dictionary_partitions if table.startswith("d_") else partitions
 
-    layers = [layer for name in chosen for layer in run_table(spark, name, raw, root, files)]
+    def write(name: str, earlier: list[Future]) -> list[tuple[str | None, str]]:
+        for run in earlier:
+            run.result()
+        return run_table(spark, name, raw, root, files)
+
+    runs: list[tuple[str, Future]] = []
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for name in chosen:
+            earlier = [run for other, run in runs if _tables_of(other) & _tables_of(name)]
+            runs.append((name, pool.submit(inheritable_thread_target(spark)(write), name, earlier)))
+        try:
+            layers = [layer for _, run in runs for layer in run.result()]
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
     return layer_counts(spark, root, layers)

@@ -72,3 +72,33 @@ def test_many_gzip_files_are_not_shuffled_to_be_read(spark, inputs, plan):
     assert len([f for f in os.listdir(f"{folder}/PROCEDURES_ICD.csv.gz") if f.endswith(".gz")]) == 16
     read = RawFolder(spark, folder)["procedures_icd"]
     assert "Exchange" not in plan(read) and read.count() == inputs.procedures_icd.count()
+
+
+def test_a_costly_key_is_not_made_to_look_through_groups(spark):
+    df = spark.range(100).withColumn("k", F.raise_error(F.lit("made")).cast("string"))
+    assert for_repeated(df, ["k"], distinct_rows, [F.col("id")]).drop("k").count() == 100
+
+
+def test_equal_ids_of_unlike_parts_are_found(spark, named, rows):
+    charts, labs = named
+    one = charts.limit(1)
+    split = {"chart_row_id": F.lit("a"), "subject_id": F.lit("b||c")}
+    joined = {"chart_row_id": F.lit("a||b"), "subject_id": F.lit("c")}
+    both = one.withColumns(split).unionByName(one.withColumns(joined))
+    both = materialize(both, shared_folder(spark, "ids"), None, "charts")
+    out = observations.clinical_observation(both, labs.limit(0)).collect()
+    assert [r.source_row_id for r in out] == ["a"]
+
+
+def test_stays_are_counted_without_combining_rows_twice(spark, inputs, rows, plan, monkeypatch):
+    silver = prescriptions.silver_prescriptions(inputs.prescriptions)
+    group = {"SUBJECT_ID": F.lit(1), "HADM_ID": F.lit(2), "MEDICATION_NAME": F.lit("X")}
+    stays = {"ICUSTAY_ID": F.when(F.col("ICUSTAY_ID") != 3, F.col("ICUSTAY_ID"))}
+    silver = silver.union(silver.limit(50).withColumns({**group, **stays}).select(*silver.columns))
+    silver = materialize(silver, shared_folder(spark, "rx"), "silver", "prescriptions")
+    expected = silver.groupBy(*prescriptions.MEDICATION_EDGE).agg(F.count_distinct("ICUSTAY_ID").alias("n"))
+    monkeypatch.setattr(prescriptions, "SMALL_TABLE", 0)
+    gold = prescriptions.gold_prescriptions(silver)
+    assert plan(gold).count("SortAggregate(") == 2
+    keys = prescriptions.MEDICATION_EDGE
+    assert rows(gold, [*keys, "ICU_STAY_COUNT"]) == rows(expected, [*keys, "n"])

@@ -1,4 +1,5 @@
 import glob
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from carelayers.catalog.inputs import INPUTS
 from carelayers.operators.reports import null_profile, null_profile_of
 from carelayers.plans import inputs as input_plans
 from carelayers.plans.checks import table_reports
-from carelayers.plans.runner import PLANS, run_tables
+from carelayers.plans.runner import PLANS, TablePlan, run_tables
 from carelayers.sources.layers import layer_path, materialize, read_layer, shared_folder, write_layer
 from carelayers.sources.raw import RawFolder, first_rows, read_raw, spread
 
@@ -154,3 +155,35 @@ def test_profile_of_an_empty_table(spark):
     assert [tuple(r) for r in null_profile_of(spark, 0, {"a": 0}).collect()] == [
         ("a", 0, 0, 0.0, False)
     ]
+
+
+def test_independent_results_are_written_at_the_same_time(spark, root, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+
+    def met(df):
+        both.wait()
+        return df
+
+    for name in ("x", "y"):
+        monkeypatch.setitem(PLANS, name, TablePlan((name,), met, plain=True))
+    counts = run_tables(spark, {"x": spark.range(3), "y": spark.range(4)}, root, ["x", "y"])
+    assert [tuple(r) for r in counts.collect()] == [("result", "x", 3), ("result", "y", 4)]
+
+
+def test_a_result_waits_for_those_it_is_built_on(spark, root, monkeypatch):
+    monkeypatch.setitem(PLANS, "x", TablePlan(("x",), lambda df: df, plain=True))
+    monkeypatch.setitem(PLANS, "z", TablePlan((), lambda df: df.union(df), after=("x",), plain=True))
+    again = ["x", "z", "x", "z", "x"]
+    counts = run_tables(spark, {"x": spark.range(3)}, root, again)
+    assert [tuple(r) for r in counts.collect()] == [("result", n, {"x": 3, "z": 6}[n]) for n in again]
+
+
+def test_a_failed_result_is_an_error_and_those_built_on_it_are_not_written(spark, root, monkeypatch):
+    def failed(df):
+        raise RuntimeError("no gold")
+
+    monkeypatch.setitem(PLANS, "x", TablePlan(("x",), failed, plain=True))
+    monkeypatch.setitem(PLANS, "z", TablePlan((), lambda df: df, after=("x",), plain=True))
+    with pytest.raises(RuntimeError, match="no gold"):
+        run_tables(spark, {"x": spark.range(3)}, root, ["x", "z"])
+    assert glob.glob(f"{root}/*") == []
