@@ -12,13 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from carelayers.operators.clean import mostly_null
 from carelayers.operators.reports import null_profile_of
 from carelayers.plans import inputs, observations, outputs, prescriptions, procedures
-from carelayers.sources.layers import (
-    layer_counts,
-    materialize,
-    read_layer,
-    write_counted,
-    write_layer,
-)
+from carelayers.sources.layers import read_layer, write_counted, write_layer
 
 
 @dataclass(frozen=True)
@@ -125,13 +119,13 @@ def run_table(
     raw: Mapping[str, DataFrame],
     root: str,
     files: Callable[[str], int | None] = lambda table: None,
-) -> list[tuple[str | None, str]]:
-    """Write every layer of one result; return the layers written, in order.
+) -> list[tuple[str, str, int]]:
+    """Write every layer of one result; return the layers written, in order, and their rows.
 
     The NULL profile of each bronze table is counted by its write and kept as layer ``profile``.
     """
     plan = PLANS[name]
-    written: list[tuple[str | None, str]] = []
+    written: list[tuple[str, str, int]] = []
     refined: list[DataFrame] = []
     for table in plan.raw:
         df = raw[table]
@@ -140,17 +134,17 @@ def run_table(
             total, filled = write_counted(df, root, "bronze", table, files(table), df.columns)
             write_layer(null_profile_of(spark, total, filled), root, "profile", table, 1)
             df = read_layer(spark, root, "bronze", table)
-            written.append(("bronze", table))
+            written.append(("bronze", table, total))
             if plan.drop_sparse:
                 known = {"sparse": mostly_null(total, filled)}
         if table in plan.silver:
             cleaned = plan.silver[table](df, **known)
-            df = materialize(cleaned, root, "silver", table, files(table))
-            written.append(("silver", table))
+            written.append(("silver", table, write_layer(cleaned, root, "silver", table, files(table))))
+            df = read_layer(spark, root, "silver", table)
         refined.append(df)
     refined += [read_layer(spark, root, _result_layer(other), other) for other in plan.after]
-    write_layer(plan.gold(*refined), root, _result_layer(name), name, files(name))
-    written.append((_result_layer(name), name))
+    rows = write_layer(plan.gold(*refined), root, _result_layer(name), name, files(name))
+    written.append((_result_layer(name) or "result", name, rows))
     return written
 
 
@@ -167,7 +161,7 @@ def run_tables(
     An unknown name is refused before anything is written. A result built on other results
     expects them below ``root``, written now or earlier. Up to ``AT_ONCE`` results are written at the
     same time, but one that reads or writes what another does waits for the one named first. If one
-    fails, those not begun are left out.
+    fails, those not begun are left out. Rows are those counted by the writes; nothing is read again for them.
     ``partitions`` fixes the number of files of each table, ``dictionary_partitions`` that of
     dictionaries; by default Spark decides.
     """
@@ -179,7 +173,7 @@ def run_tables(
     def files(table: str) -> int | None:
         return dictionary_partitions if table.startswith("d_") else partitions
 
-    def write(name: str, earlier: list[Future]) -> list[tuple[str | None, str]]:
+    def write(name: str, earlier: list[Future]) -> list[tuple[str, str, int]]:
         for run in earlier:
             run.result()
         return run_table(spark, name, raw, root, files)
@@ -194,4 +188,4 @@ def run_tables(
         except BaseException:
             pool.shutdown(wait=False, cancel_futures=True)
             raise
-    return layer_counts(spark, root, layers)
+    return spark.createDataFrame(layers, "layer string, table string, rows bigint")

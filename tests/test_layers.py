@@ -187,3 +187,10 @@ def test_a_failed_result_is_an_error_and_those_built_on_it_are_not_written(spark
     with pytest.raises(RuntimeError, match="no gold"):
         run_tables(spark, {"x": spark.range(3)}, root, ["x", "z"])
     assert glob.glob(f"{root}/*") == []
+
+
+def test_rows_are_those_counted_by_the_writes(spark, root, inputs, plan):
+    counts = run_tables(spark, {"cptevents": inputs.cptevents}, root, ["cptevents"])
+    assert "FileScan" not in plan(counts)
+    read = [(layer, "cptevents", read_layer(spark, root, layer, "cptevents").count()) for layer in ("bronze", "silver", "gold")]
+    assert [tuple(r) for r in counts.collect()] == read
