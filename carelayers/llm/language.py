@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelayers.llm.batches import steps, texts
+from carelayers.llm.batches import hand_over_little, steps, texts
 from carelayers.sources.layers import shared_folder
 
 #: Longest context in bytes; a context and its byte fit 32 bits.
@@ -250,6 +250,7 @@ def train(
     time reach the driver.
     """
     spark = labelled.sparkSession
+    hand_over_little(spark)
     folder = shared_folder(spark, "language")
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
@@ -298,6 +299,7 @@ def identify(
     Looks at the whole text. Texts that are NULL or have no letter are ``und`` with score 0; so is
     all text if the model knows no language. No shuffle; other columns are passed on.
     """
+    hand_over_little(docs.sparkSession)
     columns = [F.col(c) for c in docs.columns if c.lower() not in {n.lower() for n in into}]
     whole = docs.select(*columns)
     text_at = whole.columns.index(text_col)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelayers.llm.batches import steps, texts
+from carelayers.llm.batches import hand_over_little, steps, texts
 from carelayers.llm.graph import components
 from carelayers.sources.layers import shared_folder
 
@@ -348,6 +348,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comparisons of sketches are made in blocks, within a task, and nothing is left out.
     """
     spark = docs.sparkSession
+    hand_over_little(spark)
     folder = shared_folder(spark, "neardup")
     id_kind = dict(docs.dtypes)[id_col]
 

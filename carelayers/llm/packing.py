@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelayers.llm.batches import steps, texts
+from carelayers.llm.batches import hand_over_little, steps, texts
 from carelayers.llm.tokens import library_encoder
 from carelayers.sources.layers import shared_folder
 
@@ -166,6 +166,7 @@ def pack(
     those of a single worker are packed together by size.
     """
     spark: SparkSession = docs.sparkSession
+    hand_over_little(spark)
     kind = dict(docs.dtypes)[id_col]
     fields = _PIECE.format(id=kind) + ", k bigint, sequence_id bigint, offset bigint"
     folder = shared_folder(spark, "packing")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelayers.llm.batches import steps, texts
+from carelayers.llm.batches import hand_over_little, steps, texts
 
 #: Kinds found by pattern alone, then those confirmed by structure; this is also their order.
 PATTERN_KINDS = ("assign", "access", "hex")
@@ -320,6 +320,7 @@ def scan(docs: DataFrame, text_col: str = "text", into: str = "spans") -> DataFr
     Whole texts; NULL and empty texts have no spans; repeated rows and NULL ids are rows like any
     other. No shuffle; a lost task is done again by itself.
     """
+    hand_over_little(docs.sparkSession)
     whole = docs.select(*[F.col(c) for c in docs.columns if c.lower() != into.lower()])
     text_at = whole.columns.index(text_col)
     schema = whole.withColumn(into, F.lit(None).cast(SPANS)).schema
@@ -353,6 +354,7 @@ def redact(text: str, marker: str = "[redacted]") -> str:
 
 def redacted(docs: DataFrame, text_col: str = "text", marker: str = "[redacted]") -> DataFrame:
     """Every row of ``docs`` with secrets in its text replaced; NULL stays NULL, other columns stay."""
+    hand_over_little(docs.sparkSession)
     text_at = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
