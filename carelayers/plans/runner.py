@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from carelayers.operators.clean import mostly_null
 from carelayers.operators.reports import null_profile_of
 from carelayers.plans import inputs, observations, outputs, prescriptions, procedures
-from carelayers.sources.layers import read_layer, write_counted, write_layer
+from carelayers.sources.layers import read_layer, shuffles_dropped, write_counted, write_layer
 
 
 @dataclass(frozen=True)
@@ -162,6 +162,7 @@ def run_tables(
     expects them below ``root``, written now or earlier. Up to ``AT_ONCE`` results are written at the
     same time, but one that reads or writes what another does waits for the one named first. If one
     fails, those not begun are left out. Rows are those counted by the writes; nothing is read again for them.
+    What a query has shuffled is dropped when it ends.
     ``partitions`` fixes the number of files of each table, ``dictionary_partitions`` that of
     dictionaries; by default Spark decides.
     """
@@ -179,7 +180,7 @@ def run_tables(
         return run_table(spark, name, raw, root, files)
 
     runs: list[tuple[str, Future]] = []
-    with ThreadPoolExecutor(AT_ONCE) as pool:
+    with shuffles_dropped(spark), ThreadPoolExecutor(AT_ONCE) as pool:
         for name in chosen:
             earlier = [run for other, run in runs if _tables_of(other) & _tables_of(name)]
             runs.append((name, pool.submit(inheritable_thread_target(spark)(write), name, earlier)))

@@ -1,5 +1,6 @@
 import glob
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,3 +195,54 @@ def test_rows_are_those_counted_by_the_writes(spark, root, inputs, plan):
     assert "FileScan" not in plan(counts)
     read = [(layer, "cptevents", read_layer(spark, root, layer, "cptevents").count()) for layer in ("bronze", "silver", "gold")]
     assert [tuple(r) for r in counts.collect()] == read
+
+
+def shuffle_files(spark):
+    """What shuffles hold on this machine's disk, as paths."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    paths = [str(files.apply(k)) for k in range(files.size())]
+    return {p for p in paths if "/shuffle_" in p}
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_what_a_run_has_shuffled_does_not_stay(spark, root, monkeypatch, fails):
+    def dealt(df):
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+        counted = df.repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count()
+        assert counted.count() == 7
+        if fails:
+            raise RuntimeError("no gold")
+        return counted
+
+    before = shuffle_files(spark)
+    monkeypatch.setitem(PLANS, "x", TablePlan(("x",), dealt, plain=True))
+    if fails:
+        with pytest.raises(RuntimeError, match="no gold"):
+            run_tables(spark, {"x": spark.range(1000)}, root, ["x"])
+    else:
+        assert [tuple(r) for r in run_tables(spark, {"x": spark.range(1000)}, root, ["x"]).collect()] == [("result", "x", 7)]
+    until = time.time() + 30  # files are deleted a little later
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    # The session is left as it was.
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_layers_take_less_disk_than_by_the_default_codec(spark, root):
+    hashed = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    hashed.write.parquet(f"{root}/plain")
+    write_layer(hashed, root, "gold", "t")
+
+    def files(folder):
+        return glob.glob(f"{folder}/*.parquet")
+
+    assert read_layer(spark, root, "gold", "t").exceptAll(hashed).count() == 0
+    size = {f: sum(len(open(p, "rb").read()) for p in files(f"{root}/{f}")) for f in ("plain", "gold_t")}
+    assert size["gold_t"] < 0.75 * size["plain"]
+    spark.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    try:
+        write_layer(hashed, root, "gold", "u")
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+    assert files(f"{root}/gold_u") and all(".gz." in p for p in files(f"{root}/gold_u"))
