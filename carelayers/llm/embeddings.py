@@ -8,6 +8,8 @@ its cosine; a pair whose bound cannot reach the threshold is left without its ot
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelayers.llm.graph import components
-from carelayers.sources.layers import shared_folder
+from carelayers.sources.layers import shared_folder, shuffles_dropped
 
 THRESHOLD = 0.9
 #: Rows of a tile, and rows of one tile that meet all rows of the other at once.
@@ -27,6 +29,10 @@ PAIRS = 1 << 16
 AXES = 16
 #: Ranges of the first axis; tiles of ranges too far apart never meet.
 RANGES = 32
+#: Bytes of the digest that stands for a vector.
+KEY_BYTES = 16
+#: Rows of results that a task gives at once.
+ROWS_OUT = 1 << 16
 #: What turning may add to or take from a product by rounding.
 ROUNDING = 1e-9
 
@@ -37,13 +43,29 @@ def _usable(vector: str) -> Column:
     return x.isNotNull() & (F.size(x) > 0) & finite & F.exists(x, lambda c: c != 0)
 
 
+def _values(column: pa.Array, dims: int) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(len(column), dims)
+
+
+def _keys(values: np.ndarray) -> list[bytes]:
+    """Digests of the vectors: those of equal vectors are equal, also of 0.0 and -0.0."""
+    held, width = (values + values.dtype.type(0)).tobytes(), values.shape[1] * values.itemsize
+    return [blake2b(held[k : k + width], digest_size=KEY_BYTES).digest() for k in range(0, len(held), width)]
+
+
+def _distinct(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the first of equal keys, and how many there are of each."""
+    return np.unique(np.array(keys, dtype=f"S{KEY_BYTES}"), return_index=True, return_counts=True)[1:]
+
+
 def _moments(dims: int):
-    """Sum of the outer products of a partition's unit vectors, as one row."""
+    """Sum of the outer products of a partition's unit vectors, as one row; equal ones of a batch count once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dims, dims))
         for batch in batches:
-            units = _units(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, dims))[0]
+            values = _values(batch.column(0), dims)
+            units = _units(values[_distinct(_keys(values))[0]])[0]
             total += units.T @ units
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()])], names=["m"])
 
@@ -111,58 +133,141 @@ def _roots(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return root
 
 
-_TILE = "place bigint, ids binary, sizes binary, cells binary"
-_HELD = ("ids", "sizes", "cells")
-#: Tile pairs that one task compares.
-PAIRS_A_TASK = 4
-_FOUND = "a bigint, b bigint, links bigint"
+def _lead(values: np.ndarray, axis: np.ndarray) -> np.ndarray:
+    """Places along the axis, each from its own row alone: the same for equal vectors in any batch."""
+    return (_units(values)[0] * axis).sum(axis=1)
+
+
+def _led(axis: np.ndarray):
+    """``(id, key, lead)`` of every vector."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _values(batch.column(1), len(axis))
+            columns = [batch.column(0), pa.array(_keys(values), pa.binary()), pa.array(_lead(values, axis))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "lead"])
+
+    return run
+
+
+def _combined(axis: np.ndarray):
+    """``(key, n, v, lead)``: equal vectors of a batch as one row, so a very common one is no hot key."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _values(batch.column(0), len(axis))
+            keys = _keys(values)
+            at, n = _distinct(keys)
+            columns = [pa.array([keys[k] for k in at], pa.binary()), pa.array(n.astype(np.int64))]
+            columns += [batch.column(0).take(pa.array(at)), pa.array(_lead(values[at], axis))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "v", "lead"])
+
+    return run
+
+
+_HELD = ("keys", "sizes", "cells")
+_TILE = "place bigint, keys binary, sizes binary, cells binary"
+_FOUND = "a binary, b binary, links bigint"
 
 
-def _tile_of(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Tiles of at most ``rows`` rows, a new one where the group of the sorted rows changes."""
-    group, held = None, []
+def _tile_of(batches: Iterable[pa.RecordBatch], rows: int, dims: int) -> Iterator[pa.RecordBatch]:
+    """Tiles of at most ``rows`` classes, a new one where the group of the sorted rows changes.
+
+    Rows are sorted by group and key; those of one key become one class with the sum of their sizes.
+    """
+    group, last, held = None, None, []
 
     def tile() -> pa.RecordBatch:
-        ids, sizes, cells = (np.concatenate([h[k] for h in held]) for k in range(3))
-        row = [group, ids.astype("<i8").tobytes(), sizes.astype("<i8").tobytes(), cells.astype("<f8").tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array([c]) for c in row], names=["place", "ids", "sizes", "cells"])
+        row = [group, *(np.concatenate([h[k] for h in held]).tobytes() for k in range(3))]
+        return pa.RecordBatch.from_arrays([pa.array([c]) for c in row], names=["place", *_HELD])
 
     for batch in batches:
-        zones = batch.column(0).to_numpy()
+        if not batch.num_rows:
+            continue
+        places, sizes = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(-1, KEY_BYTES)
+        cells = _values(batch.column(3), dims)
+        new = np.ones(len(places), dtype=bool)
+        new[1:] = (places[1:] != places[:-1]) | (keys[1:] != keys[:-1]).any(axis=1)
+        new[0] = last != (places[0], keys[0].tobytes())
+        last = places[-1], keys[-1].tobytes()
+        first = np.flatnonzero(new)
+        more = first[0] if len(first) else len(places)
+        if more:  # of the class that the batch before ended with
+            held[-1][1][-1] += sizes[:more].sum()
+        if not len(first):
+            continue
+        places, keys, cells, sizes = places[first], keys[first], cells[first], np.add.reduceat(sizes, first)
         at = 0
-        while at < batch.num_rows:
-            if held and (zones[at] != group or sum(len(h[0]) for h in held) == rows):
+        while at < len(places):
+            if held and (places[at] != group or sum(len(h[1]) for h in held) == rows):
                 yield tile()
                 held = []
-            group = int(zones[at])
-            same = int(np.argmax(zones[at:] != group)) or batch.num_rows - at
-            n = min(same, rows - sum(len(h[0]) for h in held))
-            part = batch.slice(at, n)
-            cells = part.column(3).flatten().to_numpy().reshape(n, -1)
-            held.append((part.column(1).to_numpy(), part.column(2).to_numpy(), cells))
+            group = int(places[at])
+            same = int(np.argmax(places[at:] != group)) or len(places) - at
+            n = min(same, rows - sum(len(h[1]) for h in held))
+            held.append((keys[at : at + n], sizes[at : at + n].astype("<i8"), cells[at : at + n]))
             at += n
     if held:
         yield tile()
 
 
-def _compare(axes: np.ndarray, threshold: float):
+class _Met:
+    """The classes of the tiles that a task has met, their links and what they hang together with."""
+
+    def __init__(self) -> None:
+        self.first: dict[int, int] = {}
+        self.keys: list[bytes] = []
+        self.links = np.zeros(0, np.int64)
+        self.root = np.zeros(0, np.int64)
+
+    def places(self, tile: int, keys: bytes) -> np.ndarray:
+        """Where the classes of a tile are, in order."""
+        n = len(keys) // KEY_BYTES
+        if tile not in self.first:
+            at = self.first[tile] = len(self.root)
+            self.keys.append(keys)
+            self.links = np.concatenate([self.links, np.zeros(n, np.int64)])
+            self.root = np.concatenate([self.root, np.arange(at, at + n)])
+        return np.arange(self.first[tile], self.first[tile] + n)
+
+    def add(self, at: np.ndarray, links: np.ndarray, root: np.ndarray) -> None:
+        """Links of the classes at these places, and for each the position among them of one it hangs together with."""
+        self.links[at] += links
+        joined = np.flatnonzero(root != np.arange(len(root)))
+        if len(joined):
+            found = self.root[at[joined]], self.root[at[root[joined]]]
+            self.root = _roots(len(self.root), [found])[self.root]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """One row for each class that has a link: the end of its chain, and how many."""
+        keys, some = b"".join(self.keys), np.flatnonzero(self.links)
+        for start in range(0, len(some), ROWS_OUT):
+            part = some[start : start + ROWS_OUT]
+            ends = ([keys[k * KEY_BYTES : (k + 1) * KEY_BYTES] for k in ks] for ks in (part, self.root[part]))
+            columns = [*(pa.array(x, pa.binary()) for x in ends), pa.array(self.links[part])]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "links"])
+
+
+def _compare(axes: np.ndarray, dtype: str, threshold: float):
     dims = len(axes)
 
     def read(batch: pa.RecordBatch, i: int, first: int):
-        ids, sizes, cells = (batch.column(first + k)[i].as_py() for k in range(3))
-        values = np.frombuffer(cells, dtype="<f8").reshape(-1, dims)
-        units, raw = _units(values)
-        return np.frombuffer(ids, dtype="<i8"), np.frombuffer(sizes, dtype="<i8"), units @ axes, raw
+        keys, sizes, cells = (batch.column(first + k)[i].as_py() for k in range(3))
+        units, raw = _units(np.frombuffer(cells, dtype=dtype).reshape(-1, dims))
+        return keys, np.frombuffer(sizes, dtype="<i8"), units @ axes, raw
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = _Met()
         for batch in batches:
             for row in range(batch.num_rows):
-                same = batch.column(0)[row].as_py()
-                ids_a, sizes_a, a, raw_a = read(batch, row, 1)
-                ids_b, sizes_b, b, raw_b = (ids_a, sizes_a, a, raw_a) if same else read(batch, row, 4)
-                links_a, links_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
-                shift = 0 if same else len(ids_a)
-                root = np.arange(shift + len(ids_b))
+                tile_a, tile_b = (batch.column(k)[row].as_py() for k in range(2))
+                same = tile_a == tile_b
+                keys_a, sizes_a, a, raw_a = read(batch, row, 2)
+                keys_b, sizes_b, b, raw_b = (keys_a, sizes_a, a, raw_a) if same else read(batch, row, 5)
+                links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+                shift = 0 if same else len(a)
+                root = np.arange(shift + len(b))
                 for i, j in _pairs(a, b, raw_a, raw_b, threshold):
                     if same:
                         i, j = i[i < j], j[i < j]
@@ -170,69 +275,67 @@ def _compare(axes: np.ndarray, threshold: float):
                     np.add.at(links_b, j, sizes_a[i])
                     found = root[i], root[shift + j]
                     root = _roots(len(root), [found])[root]
-                # One row for each vector that has a link: how many, and the end of its chain.
-                ids = ids_a if same else np.concatenate([ids_a, ids_b])
-                links = links_a + links_b if same else np.concatenate([links_a, links_b])
-                some = np.flatnonzero(links)
-                columns = [ids[some], ids[root[some]], links[some]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "links"])
+                if same:
+                    met.add(met.places(tile_a, keys_a), links_a + links_b, root)
+                else:
+                    at = np.concatenate([met.places(tile_a, keys_a), met.places(tile_b, keys_b)])
+                    met.add(at, np.concatenate([links_a, links_b]), root)
+        yield from met.rows()
 
     return run
 
 
-def _links(own: DataFrame, dims: int, threshold: float, written) -> DataFrame:
-    """``(a, b, links)``: a linked class, one it hangs together with, and its links in a tile pair."""
-    axes = principal_axes(own, dims)
+def _meetings(tiles: DataFrame) -> DataFrame:
+    """``(tile_a, tile_b, ...)``: every two tiles of ranges that are near enough, and each tile with itself.
 
-    def first_axis(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            units = _units(batch.column(2).flatten().to_numpy().reshape(batch.num_rows, dims))[0]
-            lead = pa.array(units @ axes[:, 0])
-            yield pa.RecordBatch.from_arrays([*batch.columns, lead], names=["number", "n", "v", "lead"])
+    Tasks read their share of the tiles once for each share that they meet, so nothing is shuffled or
+    written for the pairs. Which of the two is ``a`` goes by a hash, so tasks have equal work.
+    """
 
-    kind = dict(own.dtypes)["v"]
-    led = own.select("number", "n", "v").mapInArrow(first_axis, f"number bigint, n bigint, v {kind}, lead double")
+    def side(which: str) -> DataFrame:
+        return tiles.select(*[F.col(c).alias(f"{c}_{which}") for c in ("tile", "zone", "far", *_HELD)])
+
+    near = (F.col("zone_b") <= F.col("far_a")) & (F.col("zone_a") <= F.col("far_b"))
+    lower = F.xxhash64(F.least("tile_a", "tile_b"), F.greatest("tile_a", "tile_b")) >= 0
+    once = (F.col("tile_a") == F.col("tile_b")) | ((F.col("tile_a") < F.col("tile_b")) == lower)
+    both = side("a").hint("shuffle_replicate_nl").join(side("b"), near & once)
+    return both.select("tile_a", "tile_b", *[f"{c}_{w}" for w in "ab" for c in _HELD])
+
+
+def _links(own: DataFrame, dims: int, threshold: float, written) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of vectors of one length: ``(id, key)``, ``(key, least, n)``, and ``(a, b, links)``.
+
+    The last has a linked class, one it hangs together with, and its links in what a task compares.
+    """
+    axes = principal_axes(own, dims)
+    kinds = dict(own.dtypes)
+    led = own.select("id", "v").mapInArrow(_led(axes[:, 0]), f"id {kinds['id']}, key binary, lead double")
     led = written(led, f"led{dims}")
-    ranges = max(1, min(RANGES, -(-led.count() // TILE_ROWS)))
-    bounds = led.approxQuantile("lead", [r / ranges for r in range(1, ranges)], 0.01) if ranges > 1 else []
+    classes = led.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead"))
+    classes = written(classes, f"classes{dims}")
+    ranges = max(1, min(RANGES, -(-classes.count() // TILE_ROWS)))
+    bounds = classes.approxQuantile("lead", [r / ranges for r in range(1, ranges)], 0.01) if ranges > 1 else []
     bounds = sorted(set(bounds))
     zone = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<double>"), lambda b: b <= F.col("lead")))
-    zoned = led.withColumn("zone", zone)
-    sizes = {r["zone"]: r["count"] for r in zoned.groupBy("zone").count().collect()}  # at most RANGES rows
+    sizes = {r["zone"]: r["count"] for r in classes.groupBy(zone.alias("zone")).count().collect()}  # at most RANGES rows
     parts = F.create_map(*[F.lit(x) for z, n in sizes.items() for x in (z, -(-n // TILE_ROWS))])
-    share = F.pmod(F.xxhash64("number"), F.element_at(parts, F.col("zone")))
-    placed = zoned.withColumn("place", F.col("zone").cast("bigint") * (1 << 40) + share)
+    share = F.pmod(F.xxhash64("key"), F.element_at(parts, F.col("zone")))
+    combined = own.select("v").mapInArrow(_combined(axes[:, 0]), f"key binary, n bigint, v {kinds['v']}, lead double")
+    placed = combined.withColumn("zone", zone).withColumn("place", F.col("zone").cast("bigint") * (1 << 40) + share)
     n_tiles = sum(-(-n // TILE_ROWS) for n in sizes.values())
-    sorted_rows = placed.repartition(n_tiles, "place").sortWithinPartitions("place")
-    tiles = sorted_rows.select("place", "number", "n", "v").mapInArrow(
-        lambda batches: _tile_of(batches, TILE_ROWS), _TILE
-    )
-    tiles = tiles.withColumn("zone", F.shiftright("place", 40).cast("int"))
-    tiles = written(tiles.withColumn("tile", F.monotonically_increasing_id()), f"tiles{dims}")
+    sorted_rows = placed.select("place", "key", "n", "v").repartition(n_tiles, "place").sortWithinPartitions("place", "key")
+    tiles = sorted_rows.mapInArrow(lambda batches: _tile_of(batches, TILE_ROWS, dims), _TILE)
 
     # Unit vectors with this cosine are no further apart than that on any axis.
     reach = (2 - 2 * threshold) ** 0.5 + ROUNDING
     edges = [-float("inf"), *bounds, float("inf")]
-    near = [
-        (i, [j for j in range(i, len(bounds) + 1) if edges[j] - edges[i + 1] <= reach])
-        for i in range(len(bounds) + 1)
-    ]
-    zones = own.sparkSession.createDataFrame(near, "zone int, zone_b array<int>")
-    left = tiles.select(F.col("tile").alias("tile_a"), "zone").join(F.broadcast(zones), "zone")
-    left = left.select("tile_a", F.col("zone").alias("zone_a"), F.explode("zone_b").alias("zone_b"))
-    right = tiles.select(F.col("tile").alias("tile_b"), F.col("zone").alias("zone_b"))
-    pairs = left.join(right, "zone_b").where("zone_a < zone_b or tile_a <= tile_b").select("tile_a", "tile_b")
-    pairs = written(pairs.withColumn("pair", F.monotonically_increasing_id()), f"pairs{dims}")
-    n_tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
-
-    def side(which: str) -> DataFrame:
-        held = tiles.select(F.col("tile").alias(f"tile_{which}"), *[F.col(c).alias(f"{c}_{which}") for c in _HELD])
-        return pairs.select("pair", f"tile_{which}").join(held, f"tile_{which}").repartition(n_tasks, "pair")
-
-    both = side("a").join(side("b"), "pair")
-    columns = [f"{c}_{w}" for w in "ab" for c in _HELD]
-    both = both.select((F.col("tile_a") == F.col("tile_b")).alias("same"), *columns)
-    return both.mapInArrow(_compare(axes, threshold), _FOUND)
+    far = [max(j for j in range(i, len(edges) - 1) if edges[j] - edges[i + 1] <= reach) for i in range(len(edges) - 1)]
+    tiles = tiles.withColumn("zone", F.shiftright("place", 40).cast("int"))
+    tiles = tiles.withColumn("far", F.element_at(F.array(*map(F.lit, far)), F.col("zone") + 1))
+    tiles = written(tiles.withColumn("tile", F.monotonically_increasing_id()), f"tiles{dims}")
+    dtype = "<f4" if kinds["v"] == "array<float>" else "<f8"
+    found = written(_meetings(tiles).mapInArrow(_compare(axes, dtype, threshold), _FOUND), f"found{dims}")
+    return led.select("id", "key"), classes.select("key", "least", "n"), found
 
 
 def near_duplicates(
@@ -246,9 +349,10 @@ def near_duplicates(
     own vector's component; a row without an id links with nothing and is its own component (NULL,
     kept). An empty table gives no rows.
 
-    Equal vectors are one class, counted with its size. Classes are tiles of ``TILE_ROWS``, all pairs
-    of tiles are compared whose ranges of the first axis are near enough, and a pair of tiles gives
-    one row per linked class, never its pairs.
+    Equal vectors are one class, counted with its size and named by a digest. Classes are tiles of
+    ``TILE_ROWS``, all pairs of tiles are compared whose ranges of the first axis are near enough, and a
+    task gives one row per linked class, never its pairs. The work grows with the square of the classes,
+    but vectors are shuffled and written once. The table is read several times and must be the same each time.
     """
     spark = df.sparkSession
     folder = shared_folder(spark, "embeddings")
@@ -259,30 +363,36 @@ def near_duplicates(
 
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
     usable = F.col("id").isNotNull() & _usable("v")
-    # Equal vectors, however many, leave a task as one row.
-    classes = rows.where(usable).groupBy("v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
-    classes = written(classes.withColumn("number", F.monotonically_increasing_id()), "classes")
-    found = classes.select(F.col("number").alias("a"), F.col("number").alias("b"), F.lit(0).alias("links")).limit(0)
-    for row in classes.select(F.size("v").alias("dims")).distinct().collect():
-        own = classes.where(F.size("v") == row["dims"])
-        found = found.unionByName(_links(own, row["dims"], threshold, written))
-    found = written(found, "found")
-    links = found.groupBy(F.col("a").alias("number")).agg(F.sum("links").alias("links"))
-    joined = components(found.select("a", "b")).withColumnRenamed("node", "number")
-    labelled = classes.join(joined, "number", "left").join(links, "number", "left")
-    labelled = written(labelled.withColumn("component", F.coalesce("component", "number")), "labelled")
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = labelled.join(least, "component").select(
-        F.col("v").alias("class_v"),
-        "component_id",
-        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-    )
-    # Rows that cannot link have no class to meet.
-    joined = rows.join(known, F.when(usable, F.col("v")) == F.col("class_v"), "left")
-    component = F.coalesce("component_id", "id")
-    return joined.select(
+    kind = "array<float>" if dict(rows.dtypes)["v"] == "array<float>" else "array<double>"
+    vectors = rows.where(usable).withColumn("v", F.col("v").cast(kind))
+    alone = rows.where(~usable).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component"))
+    with shuffles_dropped(spark):
+        lengths = vectors.select(F.size("v").alias("dims")).distinct().collect()
+        done = [_links(vectors.where(F.size("v") == r["dims"]), r["dims"], threshold, written) for r in lengths]
+        if done:
+            led, classes, found = (reduce(DataFrame.unionByName, frames) for frames in zip(*done))
+            links = found.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
+            joined = components(found.select("a", "b")).withColumnRenamed("node", "key")
+            # Classes of one row without a link are left out, as they are their own component.
+            several = classes.join(links, "key", "left").where("links is not null or n > 1")
+            labelled = several.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
+            labelled = written(labelled, "labelled")
+    if not done:
+        known = alone
+    else:
+        least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+        of_class = labelled.join(least, "component").select(
+            "key", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
+        )
+        met = led.join(of_class, "key", "left")
+        known = met.select(
+            "id",
+            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+            F.coalesce("component_id", "id").alias("component"),
+        ).unionByName(alone)
+    return known.select(
         F.col("id").alias(id_col),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
